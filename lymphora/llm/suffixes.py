@@ -225,7 +225,7 @@ def repeated_windows(runs: list) -> pd.DataFrame:
                 out["n"].append(z)
                 out["first"].append(edge[::2].astype(np.int32))
                 out["end"].append(edge[1::2].astype(np.int32))
-    return pd.DataFrame(out)
+    return pd.DataFrame({k: pd.Series(v, dtype=object if k in ("first", "end") else "int64") for k, v in out.items()})
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
