@@ -33,6 +33,7 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lymphora-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # so that shuffle files that nothing refers to any more are removed
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,8 +6,10 @@
 2. Texts with the same set are one class.
 3. Classes with the same least shingle under a few permutations are blocks. In a block, a signature tree is
    traversed against itself; links that join two components are kept (a spanning forest).
-4. Exact completion: any two linked classes share one of their 25 % least shingles. Components that share such
-   a shingle, and whose sizes allow it, are compared by dual traversal of their trees up to the first link.
+4. Exact completion. A class goes on only if, as in step 1, enough of its shingles occur in other components
+   too. Of those that are left, any two that link share one of their 25 % least shingles. Components that share
+   shingles often enough, and whose sizes allow it, are compared by dual traversal of their trees; what the
+   bitmaps leave is verified on the sets.
 """
 
 from __future__ import annotations
@@ -22,11 +24,11 @@ from .common import connected_components, cut, mix, shingle_sets, small_batches,
 
 #: Two sets link when UNION * their intersection >= LEAST * their union.
 LEAST, UNION = 75, 100
-#: Documents for each bucket of the exchange, permutations, sets of a block at most, sets of a leaf, bits of a bitmap.
-SHARE, ROUNDS, BLOCK, LEAF, BITS = 4096, 3, 1024, 8, 2048
-FAN = 4
-_bits = np.arange(256, dtype=np.uint16)
-POPULATION = np.array([bin(k).count("1") for k in range(256)], np.uint16)
+#: Documents for each bucket of the exchange, permutations, sets of a block at most, bits of a bitmap, components compared with one at once.
+SHARE, ROUNDS, BLOCK, BITS, SIDE = 4096, 2, 1024, 4096, 512
+FAN = 16
+#: Of the hashes, those below are tested in steps 1 and 4.
+HALF = np.uint64(1 << 63)
 
 
 def allowed(n: np.ndarray) -> np.ndarray:
@@ -39,51 +41,52 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return UNION * both >= LEAST * (len(a) + len(b) - both)
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITS, np.uint8)
+    bits[(s >> np.uint64(20)).astype(np.int64) % BITS] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
 class Tree:
-    """A signature tree over sets, in order of their least shingles so that like sets are neighbours.
+    """A signature tree over sets, in an order in which like sets are neighbours.
 
-    Level 0 has a bitmap and the size of each set; a node above OR-combines FAN bitmaps and spans their sizes.
+    Level 0 has each set's bitmap, size (twice) and slack: size less bits. A node above OR-combines FAN
+    bitmaps and has the range of their sizes and their largest slack.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        bits = np.zeros((len(sets), BITS), np.uint8)
-        for i, s in enumerate(sets):
-            bits[i, (s >> np.uint64(20)).astype(np.int64) % BITS] = 1
-        packed = np.packbits(bits, axis=1)
-        size = np.array([len(s) for s in sets])
-        self.levels = [(packed, size, size, POPULATION[packed].sum(axis=1, dtype=np.int64))]
-        while len(packed) > 1:
-            edge = np.arange(0, len(packed), FAN)
-            packed = np.bitwise_or.reduceat(packed, edge, axis=0)
-            _, low, high, fewest = self.levels[-1]
-            self.levels.append((packed, np.minimum.reduceat(low, edge), np.maximum.reduceat(high, edge), np.minimum.reduceat(fewest, edge)))
+    def __init__(self, bitmaps: np.ndarray, size: np.ndarray):
+        self.count = len(size)
+        self.levels = [(bitmaps, size, size, size - np.bitwise_count(bitmaps).sum(axis=1, dtype=np.int64))]
+        while len(bitmaps) > 1:
+            edge = np.arange(0, len(bitmaps), FAN)
+            bitmaps = np.bitwise_or.reduceat(bitmaps, edge, axis=0)
+            _, low, high, slack = self.levels[-1]
+            self.levels.append((bitmaps, np.minimum.reduceat(low, edge), np.maximum.reduceat(high, edge), np.maximum.reduceat(slack, edge)))
 
 
 def possible(a: Tree, b: Tree, level_a: int, level_b: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether nodes i of a and j of b can hold a linked pair, by the largest possible overlap.
 
-    A set below i has at least `fewest` bits; those outside j's bitmap each stand for a shingle that no set
-    below j has. So an overlap is at most the set's size less fewest plus the bits common to both nodes.
+    Each bit of a set that is not in j's bitmap stands for a shingle that no set below j has, so an overlap
+    is at most the set's slack plus the bits common to both nodes. A link of sizes m and n takes an overlap
+    of LEAST / (UNION + LEAST) * (m + n).
     """
-    pa, low_a, high_a, few_a = (v[i] for v in a.levels[level_a])
-    pb, low_b, high_b, few_b = (v[j] for v in b.levels[level_b])
+    pa, low_a, high_a, slack_a = (v[i] for v in a.levels[level_a])
+    pb, low_b, high_b, slack_b = (v[j] for v in b.levels[level_b])
     ok = (UNION * high_a >= LEAST * low_b) & (UNION * high_b >= LEAST * low_a)
     at = np.flatnonzero(ok)
     if len(at):
-        common = POPULATION[pa[at] & pb[at]].sum(axis=1, dtype=np.int64)
-        least = np.maximum(low_a[at], -(-LEAST * low_b[at] // UNION)), np.maximum(low_b[at], -(-LEAST * low_a[at] // UNION))
-        # overlap <= size - fewest + common must reach LEAST % of the size: size * (UNION - LEAST) >= UNION * (fewest - common)
-        fit = ((UNION - LEAST) * high_a[at] >= UNION * (few_a[at] - common)) & ((UNION - LEAST) * high_b[at] >= UNION * (few_b[at] - common))
-        ok[at] = fit & (least[0] <= high_a[at]) & (least[1] <= high_b[at])
+        common = np.bitwise_count(pa[at] & pb[at]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(np.minimum(slack_a[at], slack_b[at]) + common, np.minimum(high_a[at], high_b[at]))
+        ok[at] = (UNION + LEAST) * most >= LEAST * (low_a[at] + low_b[at])
     return ok
 
 
-def traverse(a: Tree, b: Tree, one: bool = False):
-    """Pairs (i, j) of linked sets of a and b: all if one is false and a is not b, else a spanning forest of them
-    (with one, the first). Node pairs wait on a stack, level by level, FAN * FAN children at a time."""
+def traverse(a: Tree, b: Tree, test):
+    """Pairs (i, j) of a and b that pass test: all of them, or if a is b a spanning forest of them.
+    Node pairs wait on a stack; FAN * FAN pairs of children are looked at together."""
     same = a is b
-    root = list(range(len(a.sets)))
+    root = list(range(a.count))
 
     def find(x):
         while root[x] != x:
@@ -97,13 +100,11 @@ def traverse(a: Tree, b: Tree, one: bool = False):
         if la == lb == 0:
             if same:
                 x, y = find(i), find(j)
-                if x != y and linked(a.sets[i], b.sets[j]):
+                if x != y and test(i, j):
                     root[max(x, y)] = min(x, y)
                     yield i, j
-            elif linked(a.sets[i], b.sets[j]):
+            elif test(i, j):
                 yield i, j
-                if one:
-                    return
             continue
         na, nb = max(la - 1, 0), max(lb - 1, 0)
         ci = np.arange(i * FAN, min((i + 1) * FAN, len(a.levels[na][1]))) if la else np.array([i])
@@ -115,8 +116,8 @@ def traverse(a: Tree, b: Tree, one: bool = False):
                 x, y = x[x < y], y[x < y]
         if not len(x):
             continue
-        if same and na < 2:  # pairs of one component need no look
-            ok = np.array([not _joined(find, na, p, q, len(a.sets)) for p, q in zip(x.tolist(), y.tolist())])
+        if same and na == 0:  # pairs of one component need no look
+            ok = np.array([not _joined(find, na, p, q, a.count) for p, q in zip(x.tolist(), y.tolist())])
             x, y = x[ok], y[ok]
         ok = possible(a, b, na, nb, x, y)
         # neighbours first: they join components early
@@ -143,11 +144,52 @@ def unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def dealt(who: np.ndarray, sets: list[np.ndarray], buckets: int) -> list[tuple]:
+    """(bucket, load) of the tested half of the sets: a load has ids, their numbers of hashes, and 32 bits of each hash."""
+    tested = [s[: np.searchsorted(s, HALF)] for s in sets]
+    if not sum(map(len, tested)):
+        return []
+    h = mix(np.concatenate(tested))
+    of = np.repeat(np.arange(len(sets)), [len(t) for t in tested])
+    b = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.lexsort((of, b))
+    h, b, of = (h[order] & np.uint64(0xFFFFFFFF)).astype("<u4"), b[order], of[order]
+    cuts = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1], [True])))
+    out = []
+    for x, y in zip(cuts, cuts[1:]):
+        at, count = np.unique(of[x:y], return_counts=True)
+        out.append((int(b[x]), pack(*(w[at].astype("<i8") for w in who), count.astype("<i4"), h[x:y])))
+    return out
+
+
+def shared_by_bucket(sent: DataFrame, roots: bool) -> DataFrame:
+    """(id, shared): how many tested hashes of each id are also another id's or, with roots, another root's."""
+    kinds = ("<i8", "<i8", "<i4", "<u4") if roots else ("<i8", "<i4", "<u4")
+
+    def receive(pdf: pd.DataFrame) -> pd.DataFrame:
+        loads = [unpack(x, *kinds) for x in pdf["load"]]
+        who = np.concatenate([np.repeat(x[0], x[-2]) for x in loads])
+        root = np.concatenate([np.repeat(x[1], x[-2]) for x in loads]) if roots else who
+        h = np.concatenate([x[-1] for x in loads])
+        order = np.argsort(h, kind="stable")
+        start = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
+        r = root[order]
+        # a copy outside this batch counts as another: both have the hash
+        several = np.minimum.reduceat(r, start) != np.maximum.reduceat(r, start) if roots else np.diff(np.append(start, len(h))) > 1
+        mark = np.repeat(several, np.diff(np.append(start, len(h))))
+        ids, count = np.unique(who[order][mark], return_counts=True)
+        return pd.DataFrame({"id": ids, "shared": count})
+
+    return sent.groupBy("bucket").applyInPandas(receive, "id long, shared long").groupBy("id").agg(F.sum("shared").alias("shared"))
+
+
+#: Whether a set can have a link, from the number of its tested hashes that others have: those that nobody has are lonely.
+MAY = f"tested - coalesce(shared, 0) <= n - ceil(n * {LEAST} / {UNION}D)"
+
+
 def suspects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sizes, ids): sizes (doc_id, n), and ids (doc_id) of the documents that step 1 can't rule out."""
-    spark = docs.sparkSession
     buckets = max(16, -(-docs.count() // SHARE))
-    shift = np.uint64(63 - 32)
 
     def send(parts):
         for pdf in parts:
@@ -161,40 +203,13 @@ def suspects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 if k != i:
                     twin[i] = twin[k] = True
             # of copies in a batch one is sent; all of them are suspects already
-            own = [i for i in first.values() if n[i]]
-            tested = [sets[i][: np.searchsorted(sets[i], np.uint64(1 << 63))] for i in own]
-            m = np.zeros(len(ids), np.int64)
-            m[own] = [len(t) for t in tested]
+            own = np.array([i for i in first.values() if n[i]], np.int64)
+            m = np.array([np.searchsorted(s, HALF) for s in sets])
             rows = [(-1, pack(ids.astype("<i8"), n.astype("<i4"), m.astype("<i4"), twin.astype("u1")))]
-            if own and sum(map(len, tested)):
-                h = np.concatenate(tested)
-                doc = np.repeat(np.array(own), [len(t) for t in tested])
-                # the top 63 bits' order decides the bucket, the next 32 bits of a mixed hash are the rest
-                h = mix(h)
-                b = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                order = np.lexsort((doc, b))
-                h, b, doc = (h[order] & np.uint64(0xFFFFFFFF)).astype("<u4"), b[order], doc[order]
-                cuts = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1], [True])))
-                for x, y in zip(cuts, cuts[1:]):
-                    who, count = np.unique(doc[x:y], return_counts=True)
-                    rows.append((int(b[x]), pack(ids[who].astype("<i8"), count.astype("<i4"), h[x:y])))
-            yield pd.DataFrame(rows, columns=["bucket", "load"])
+            yield pd.DataFrame(rows + dealt([ids[own]], [sets[i] for i in own], buckets), columns=["bucket", "load"])
 
     sent = cut(docs.select("doc_id", "text").mapInPandas(send, "bucket int, load binary"), "shingles")
 
-    def receive(pdf: pd.DataFrame) -> pd.DataFrame:
-        loads = [unpack(x, "<i8", "<i4", "<u4") for x in pdf["load"]]
-        doc = np.concatenate([np.repeat(i, c) for i, c, _ in loads])
-        h = np.concatenate([x[2] for x in loads])
-        order = np.argsort(h, kind="stable")
-        s = h[order]
-        equal = s[1:] == s[:-1]
-        shared = np.zeros(len(h), bool)
-        shared[order[1:][equal]] = True
-        shared[order[:-1][equal]] = True
-        who, count = np.unique(doc[shared], return_counts=True)
-        return pd.DataFrame({"doc_id": who, "shared": count})
-
     def facts(parts):
         for pdf in parts:
             for load in pdf["load"]:
@@ -202,33 +217,31 @@ def suspects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield pd.DataFrame({"doc_id": i, "n": n.astype(np.int64), "tested": m, "twin": twin > 0})
 
     about = cut(sent.where("bucket < 0").mapInPandas(facts, "doc_id long, n long, tested int, twin boolean"), "sizes")
-    shared = sent.where("bucket >= 0").groupBy("bucket").applyInPandas(receive, "doc_id long, shared long").groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+    shared = shared_by_bucket(sent.where("bucket >= 0"), False).withColumnRenamed("id", "doc_id")
     own = about.where("n > 0").join(shared, "doc_id", "left")
-    # lonely shingles in the tested half <= shingles that a linked set may lack
-    may = F.col("twin") | (F.col("tested") - F.coalesce("shared", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * LEAST / UNION))
-    return about.select("doc_id", "n"), own.where(may).select("doc_id")
+    return about.select("doc_id", "n"), own.where(f"twin OR {MAY}").select("doc_id").distinct()
 
 
-def classes_of(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, classes): members (doc_id, class), and classes (class, n, shingles, keys) with sorted hashes."""
-    def sets(parts):
+def classes_of(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, classes, sets): members (doc_id, class), classes (class, n, keys), and sets (class, n, shingles)
+    with the sorted hashes of classes, and of some that no class is named after."""
+    def hashed(parts):
         salts = mix(np.arange(7, 7 + ROUNDS, dtype=np.uint64))
         for pdf in parts:
             rows = []
             for i, s in zip(pdf["doc_id"], shingle_sets(list(pdf["text"]))):
                 if len(s):
-                    with np.errstate(over="ignore"):
-                        own = [int(x) for x in (np.sum(mix(s)).view(np.int64), np.sum(mix(s ^ np.uint64(0x5555))).view(np.int64))]
+                    own = [int(x) for x in (np.sum(mix(s)).view(np.int64), np.sum(mix(s ^ np.uint64(0x5555))).view(np.int64))]
                     rows.append((i, len(s), *own, s.tobytes(), [int(mix(s ^ k).min().view(np.int64)) for k in salts]))
             if rows:
                 yield pd.DataFrame(rows, columns=["doc_id", "n", "c1", "c2", "shingles", "keys"])
 
-    found = cut(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc_id long, n long, c1 long, c2 long, shingles binary, keys array<long>"), "sets")
-    slim = found.select("doc_id", "n", "c1", "c2")
-    least = slim.groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("class"))
-    members = cut(slim.join(least, ["n", "c1", "c2"]).select("doc_id", "class"), "members")
-    own = found.select(F.col("doc_id").alias("class"), "n", "shingles", "keys").join(least.select("class"), "class", "left_semi").dropDuplicates(["class"])
-    return members, own
+    found = cut(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(hashed, "doc_id long, n long, c1 long, c2 long, shingles binary, keys array<long>"), "sets")
+    slim = found.select("doc_id", "n", "c1", "c2", "keys")
+    least = slim.groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("class"), F.first("keys").alias("keys"))
+    least = cut(least, "classes")
+    members = cut(slim.drop("keys").join(least, ["n", "c1", "c2"]).select("doc_id", "class"), "members")
+    return members, least.select("class", "n", "keys"), found.select(F.col("doc_id").alias("class"), "n", "shingles")
 
 
 def in_order(pdf: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -238,7 +251,7 @@ def in_order(pdf: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
     return pdf["class"].to_numpy()[order], [sets[k] for k in order]
 
 
-def block_links(classes: DataFrame) -> DataFrame:
+def block_links(classes: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): spanning links found in blocks of classes with a common least shingle.
 
     A block over BLOCK classes is dealt by size order and hash; what that parts, other permutations and the
@@ -247,44 +260,87 @@ def block_links(classes: DataFrame) -> DataFrame:
     keys = classes.select("class", "n", F.posexplode("keys").alias("round", "key"))
     many = keys.groupBy("round", "key").agg(F.count("*").alias("c")).where("c > 1")
     dealt = keys.join(many, ["round", "key"]).withColumn("part", F.pmod(F.xxhash64("class", "round"), F.ceil(F.col("c") / BLOCK)).cast("int"))
-    blocks = dealt.select("class", "round", "key", "part").join(classes.select("class", "shingles"), "class")
+    blocks = dealt.select("class", "round", "key", "part").join(sets.select("class", "shingles"), "class")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) < 2:
             return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
         who, sets = in_order(pdf)
-        tree = Tree(sets)
-        pairs = [(who[i], who[j]) for i, j in traverse(tree, tree)]
+        tree = Tree(np.stack([bitmap(x) for x in sets]), np.array([len(x) for x in sets]))
+        pairs = [(who[i], who[j]) for i, j in traverse(tree, tree, lambda i, j: linked(sets[i], sets[j]))]
         return pd.DataFrame({"a": np.array([p[0] for p in pairs], np.int64), "b": np.array([p[1] for p in pairs], np.int64)})
 
     return blocks.groupBy("round", "key", "part").applyInPandas(run, "a long, b long")
 
 
-def completing_links(classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b): a link for each two components that have one and share a shingle of their sets' prefixes."""
-    own = cut(classes.join(roots, "class", "left").select("class", F.coalesce("component", "class").alias("root"), "n", "shingles"), "rooted")
+def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b): a link for each two components that have one and that no block has joined."""
+    named = classes.select("class").join(roots, "class", "left").select("class", F.coalesce("component", "class").alias("root"))
+    buckets = max(16, -(-named.count() // SHARE))
+
+    def send(parts):
+        for pdf in parts:
+            all_sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+            who = [pdf["class"].to_numpy(), pdf["root"].to_numpy()]
+            m = np.array([np.searchsorted(x, HALF) for x in all_sets])
+            rows = [(-1, pack(*(w.astype("<i8") for w in who), pdf["n"].to_numpy().astype("<i4"), m.astype("<i4")))]
+            yield pd.DataFrame(rows + dealt(who, all_sets, buckets), columns=["bucket", "load"])
+
+    def facts(parts):
+        for pdf in parts:
+            for load in pdf["load"]:
+                i, root, n, m = unpack(load, "<i8", "<i8", "<i4", "<i4")
+                yield pd.DataFrame({"class": i, "root": root, "n": n.astype(np.int64), "tested": m})
+
+    sent = cut(named.join(sets, "class").mapInPandas(send, "bucket int, load binary"), "crossing")
+    about = sent.where("bucket < 0").mapInPandas(facts, "class long, root long, n long, tested int")
+    shared = shared_by_bucket(sent.where("bucket >= 0"), True).withColumnRenamed("id", "class")
+    left_over = about.join(shared, "class", "left").where(MAY).select("class", "root")
+    own = cut(sets.join(left_over, "class").dropDuplicates(["class"]), "rooted")
 
     def prefixes(parts):
         for pdf in parts:
-            yield pd.DataFrame({"root": pdf["root"], "n": pdf["n"], "tokens": [np.frombuffer(s, np.int64)[: int(allowed(np.int64(n))) + 1] for s, n in zip(pdf["shingles"], pdf["n"])]})
+            sets_ = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+            tokens = [x[: int(allowed(np.int64(len(x)))) + 1] for x in sets_]
+            yield pd.DataFrame({"class": pdf["class"], "root": pdf["root"], "n": pdf["n"], "p": [len(t) for t in tokens], "last": [int(t[-1] >> np.uint64(1)) for t in tokens], "tokens": [t.view(np.int64) for t in tokens]})
 
-    tokens = own.select("root", "n", "shingles").mapInPandas(prefixes, "root long, n long, tokens array<long>").select("root", "n", F.explode("tokens").alias("token"))
-    tokens = tokens.groupBy("token", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    tokens = own.select("class", "root", "n", "shingles").mapInPandas(prefixes, "class long, root long, n long, p long, last long, tokens array<long>").select("class", "root", "n", "p", "last", F.explode("tokens").alias("token"))
     tokens = cut(tokens, "prefixes")
-    several = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    several = tokens.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
     x = tokens.join(several, "token", "left_semi")
-    y = x.select("token", F.col("root").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    fits = f"root < other AND {UNION} * high >= {LEAST} * low2 AND {UNION} * high2 >= {LEAST} * low"
-    pairs = cut(x.join(y, "token").where(fits).select("root", "other").distinct(), "pairs")
-    left = pairs.join(own, "root").select("root", "other", F.lit(0).alias("side"), "class", "shingles")
-    right = pairs.join(own.withColumnRenamed("root", "other"), "other").select("root", "other", F.lit(1).alias("side"), "class", "shingles")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        (na, sa), (nb, sb) = (in_order(pdf[pdf["side"] == k]) for k in (0, 1))
-        pairs_ = [(na[i], nb[j]) for i, j in traverse(Tree(sa), Tree(sb), one=True)]
-        return pd.DataFrame({"a": np.array([p[0] for p in pairs_], np.int64), "b": np.array([p[1] for p in pairs_], np.int64)})
+    y = x.select("token", *(F.col(c).alias(c + "2") for c in ("class", "root", "n", "p", "last")))
+    fits = f"root < root2 AND {UNION} * n >= {LEAST} * n2 AND {UNION} * n2 >= {LEAST} * n"
+    both = x.join(y, "token").where(fits).groupBy("class", "class2", "root", "root2", "n", "n2", "p", "p2", "last", "last2").agg(F.count("*").alias("c"))
+    # Of the set whose prefix ends first, all p least shingles were looked up in the other's prefix: at most n - p + c are common.
+    need = f"ceil((n + n2) * {LEAST} / {UNION + LEAST}D)"
+    enough = f"CASE WHEN last < last2 THEN n - p + c >= {need} WHEN last > last2 THEN n2 - p2 + c >= {need} ELSE greatest(n - p, n2 - p2) + c >= {need} END"
+    close = cut(both.where(enough).select("class", "class2", "root", F.col("root2").alias("other")), "pairs")
+    pairs = close.selectExpr("root", "other", "class").distinct(), close.selectExpr("root", "other", "class2 AS class").distinct()
+    signed = own.select("class", "n", "shingles").mapInPandas(lambda parts: (pd.DataFrame({"class": x["class"], "n": x["n"], "bitmap": [bitmap(np.frombuffer(v, np.uint64)).tobytes() for v in x["shingles"]]}) for x in parts), "class long, n long, bitmap binary")
+    parts_of = close.groupBy("root").agg(F.ceil(F.count_distinct("other") / SIDE).alias("parts"))
+    pairs = close.join(parts_of, "root").withColumn("part", F.pmod(F.xxhash64("other"), F.col("parts")))
+    sides = (pairs.select("root", "part", F.col(c).alias("class"), F.lit(k).alias("side")).distinct() for k, c in enumerate(("class", "class2")))
+    left, right = (x.join(signed, "class") for x in sides)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        two = []
+        for k in (0, 1):
+            x = pdf[pdf["side"] == k].sort_values(["n", "class"])
+            two.append((x["class"].to_numpy(), Tree(np.frombuffer(b"".join(x["bitmap"]), np.uint64).reshape(len(x), -1), x["n"].to_numpy())))
+        (na, ta), (nb, tb) = two
+        found = list(traverse(ta, tb, lambda i, j: na[i] != nb[j]))
+        return pd.DataFrame({"a": na[[i for i, _ in found]] if found else np.zeros(0, np.int64), "b": nb[[j for _, j in found]] if found else np.zeros(0, np.int64)})
+
+    likely = left.unionByName(right).groupBy("root", "part").applyInPandas(compare, "a long, b long")
+    likely = likely.join(close.selectExpr("class AS a", "class2 AS b"), ["a", "b"], "left_semi")
+
+    def verify(parts):
+        for pdf in parts:
+            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(pdf["x"], pdf["y"])]
+            yield pdf.loc[ok, ["a", "b"]]
 
-    return left.unionByName(right).groupBy("root", "other").applyInPandas(run, "a long, b long")
+    of = lambda side, c: own.select(F.col("class").alias(side), F.col("shingles").alias(c))
+    return likely.join(of("a", "x"), "a").join(of("b", "y"), "b").mapInPandas(verify, "a long, b long")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -295,11 +351,10 @@ def components(docs: DataFrame) -> DataFrame:
     columns are not read.
     """
     sizes, ids = suspects(docs)
-    members, classes = classes_of(docs, ids)
-    classes = cut(classes, "classes")
-    first = cut(block_links(classes), "links")
+    members, classes, sets = classes_of(docs, ids)
+    first = cut(block_links(classes, sets), "links")
     roots = connected_components(first.selectExpr("a AS src", "b AS dst")).selectExpr("node AS class", "component")
-    more = cut(completing_links(classes, roots), "more")
+    more = cut(completing_links(classes, sets, roots), "more")
     roots = connected_components(first.unionByName(more).selectExpr("a AS src", "b AS dst")).selectExpr("node AS class", "component")
     known = members.join(roots, "class", "left").select("doc_id", F.coalesce("component", "class").alias("root"))
     return sizes.join(known, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
