@@ -19,6 +19,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import connected_components, cut, mix, shingle_sets, small_batches, table
 
@@ -298,16 +299,20 @@ def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> D
     left_over = about.join(shared, "class", "left").where(MAY).select("class", "root")
     own = cut(sets.join(left_over, "class").dropDuplicates(["class"]), "rooted")
 
-    def prefixes(parts):
+    def spread(parts):
         for pdf in parts:
-            sets_ = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-            tokens = [x[: int(allowed(np.int64(len(x)))) + 1] for x in sets_]
-            yield pd.DataFrame({"class": pdf["class"], "root": pdf["root"], "n": pdf["n"], "p": [len(t) for t in tokens], "last": [int(t[-1] >> np.uint64(1)) for t in tokens], "tokens": [t.view(np.int64) for t in tokens]})
-
-    tokens = own.select("class", "root", "n", "shingles").mapInPandas(prefixes, "class long, root long, n long, p long, last long, tokens array<long>").select("class", "root", "n", "p", "last", F.explode("tokens").alias("token"))
-    tokens = cut(tokens, "prefixes")
-    several = tokens.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
-    x = tokens.join(several, "token", "left_semi")
+            yield pd.DataFrame({"class": pdf["class"], "root": pdf["root"], "n": pdf["n"], "tokens": [np.frombuffer(x, np.int64) for x in pdf["shingles"]]})
+
+    tokens = own.select("class", "root", "n", "shingles").mapInPandas(spread, "class long, root long, n long, tokens array<long>").select("class", "root", "n", F.explode("tokens").alias("token"))
+    # The order of all shingles: those of one component first, then by how many classes have them, then by hash.
+    several = tokens.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("df")).where("x < y").select("token", "df")
+    crossing = tokens.join(several, "token")
+    w = Window.partitionBy("class")
+    ranked = crossing.withColumns({"k": F.row_number().over(w.orderBy("df", "token")), "own": F.count("*").over(w)})
+    ranked = ranked.withColumn("p", F.expr(f"n - ceil(n * {LEAST} / {UNION}D) + 1")).where("n - own + k <= p")
+    last = F.max(F.struct("df", "token")).over(w)
+    tokens = cut(ranked.withColumn("last", last).select("class", "root", "n", "p", "last", "token"), "prefixes")
+    x = tokens
     y = x.select("token", *(F.col(c).alias(c + "2") for c in ("class", "root", "n", "p", "last")))
     fits = f"root < root2 AND {UNION} * n >= {LEAST} * n2 AND {UNION} * n2 >= {LEAST} * n"
     both = x.join(y, "token").where(fits).groupBy("class", "class2", "root", "root2", "n", "n2", "p", "p2", "last", "last2").agg(F.count("*").alias("c"))
