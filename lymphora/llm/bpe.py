@@ -13,22 +13,21 @@ from .common import small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words whose ids a worker remembers; it forgets them all when there are more. Words a query takes at once.
-REMEMBERED, AT_ONCE = 250_000, 50_000
+REMEMBERED, AT_ONCE = 500_000, 50_000
 
-#: Rows are (w word, p position, id, step). A step joins each adjacent pair to the merge table and contracts
-#: the pair of least rank, the leftmost of equals, of each word; a word without such a pair adds no rows.
+#: Rows are (w word, p position, id, after: the next position's id, step). A step joins the pairs to the merge
+#: table and contracts each word's pair of least rank, the leftmost of equals (rank and position in one number);
+#: a word without such a pair adds no rows. The last aggregate, in order of position, decodes the word again.
 CONTRACT = """
-WITH RECURSIVE t(w, p, id, step) AS (
-  SELECT w, p, id, 0 FROM start
+WITH RECURSIVE t(w, p, id, after, step) AS (
+  SELECT w, p, id, lead(id) OVER (PARTITION BY w ORDER BY p), 0 FROM start
   UNION ALL
-  SELECT w, p, CASE WHEN p = best[2] THEN best[3] ELSE id END, step + 1 FROM (
-    SELECT x.*, min(CASE WHEN m.rank IS NOT NULL THEN [m.rank, x.p, m.id] END) OVER (PARTITION BY x.w) AS best
-    FROM (SELECT t.*, lead(id) OVER a AS after, lag(p) OVER a AS previous FROM t WINDOW a AS (PARTITION BY w ORDER BY p)) x
-    LEFT JOIN merges m ON m.a = x.id AND m.b = x.after
-  ) WHERE best IS NOT NULL AND previous IS DISTINCT FROM best[2]
-), last AS (SELECT w, max(step) AS step FROM t GROUP BY w),
-r AS (SELECT t.w, t.p, t.id, v.bytes FROM t JOIN last USING (w, step) JOIN vocabulary v USING (id))
-SELECT w, list(id ORDER BY p) AS ids, from_hex(string_agg(hex(bytes), '' ORDER BY p)) AS bytes FROM r GROUP BY w ORDER BY w
+  SELECT w, p, id, lead(id) OVER (PARTITION BY w ORDER BY p), step FROM (
+    SELECT y.w, y.p, CASE WHEN y.p = (b.best & 1073741823) THEN b.best >> 30 ELSE y.id END AS id, y.step + 1 AS step, lag(y.p) OVER (PARTITION BY y.w ORDER BY y.p) AS previous, b.best
+    FROM t y JOIN (SELECT x.w, min((m.id << 30) | x.p) AS best FROM t x JOIN merges m ON m.a = x.id AND m.b = x.after GROUP BY x.w) b ON y.w = b.w
+  ) WHERE previous IS DISTINCT FROM (best & 1073741823)
+), last AS (SELECT w, max(step) AS step FROM t GROUP BY w)
+SELECT w, list(t.id ORDER BY p) AS ids, from_hex(string_agg(v.hex, '' ORDER BY p)) AS bytes FROM t JOIN last USING (w, step) JOIN vocabulary v USING (id) GROUP BY w
 """
 
 
@@ -52,10 +51,10 @@ class Coder:
         merges = [(self.ranks[b[:k]], self.ranks[b[k:]], i) for b, i in ranks for k in range(1, len(b)) if b[:k] in self.ranks and b[k:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         a, b, i = zip(*merges) if merges else ((), (), ())
-        self.db.register("m_", pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "rank": pa.array(i, pa.int64()), "id": pa.array(i, pa.int64())}))
+        self.db.register("m_", pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "id": pa.array(i, pa.int64())}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m_")
         self.db.register("v_", pa.table({"id": pa.array([i for _, i in ranks], pa.int64()), "bytes": pa.array([b for b, _ in ranks], pa.binary())}))
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM v_")
+        self.db.execute("CREATE TABLE vocabulary AS SELECT id, hex(bytes) AS hex FROM v_")
         self.known: dict[str, list[int]] = {}
 
     def learn(self, words) -> None:
