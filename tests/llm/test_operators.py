@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lymphora.llm import bpe, chat, common, embed, html, jaccard, langid, mixing, quality, registry, suffixes
+from lymphora.llm import bpe, chat, common, embed, html, jaccard, langid, mixing, quality, registry, search, suffixes
 
 D = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, shingles int, class string, root int"
@@ -131,6 +131,35 @@ def test_bpe_is_tiktoken(spark, tmp_path):
         assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def brute_search(queries, texts, k):
+    rows = [[w.lower() for w in (t or "").split()] for t in texts]
+    mean, df = sum(map(len, rows)) / len(rows), Counter(w for r in rows for w in set(r))
+    idf = {w: math.log(1 + (len(rows) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    out = set()
+    for q, t in queries:
+        scores = []
+        for i, r in enumerate(rows):
+            c = Counter(r)
+            s = sum(idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * len(r) / mean)) for w in {x.lower() for x in (t or "").split()} if c[w])
+            scores += [(-round(s, 6), i)] if s else []
+        out |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k])}
+    return out
+
+
+@pytest.mark.parametrize("block", [2, 64])
+def test_search_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(search, "BLOCK", block)
+    common.ship(spark)
+    texts = [t for t in ODD if t is None or t.isascii()] * 2 + near_copies(4, 30) + [prose(9, 500)] * 15
+    queries = [(i, t) for i, t in enumerate(texts) if i % 3 == 0] + [(1000, "no-such-word"), (1001, None), (1002, "W1 w2 w2")]
+    got = search.top_k(spark.createDataFrame(queries, "query_id long, text string"), docs(spark, texts), 5)
+    close = lambda rows: sorted((q, r, i, pytest.approx(s, abs=2e-6)) for q, r, i, s in rows)
+    assert sorted(map(tuple, got.collect())) == close(brute_search(queries, texts, 5))
+    assert search.top_k(docs(spark, []).selectExpr("doc_id AS query_id", "text"), docs(spark, [])).count() == 0
+    odd = spark.createDataFrame([(None, "a b"), (7, "a b"), (7, "a b")], "doc_id long, text string")
+    assert [r.doc_id for r in search.top_k(spark.createDataFrame([(1, "b")], "query_id long, text string"), odd).orderBy("rank").collect()] == [7, 7, None]
+
+
 def test_embeddings_odd_vectors(spark):
     rows = [(0, [1.0, 0.0], 1), (1, [2.0, 0.0], 1), (2, [1.0, 0.1], 1), (3, [1.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [float("nan"), 1.0], 1), (8, [1.0, 0.0], None), (9, [1.0, 0.0, 0.0], 1), (10, [], 1)]
     common.ship(spark)
