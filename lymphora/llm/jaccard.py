@@ -9,7 +9,8 @@
 4. Exact completion. A class goes on only if, as in step 1, enough of its shingles occur in other components
    too. Of those that are left, any two that link share one of their 25 % least shingles. Components that share
    shingles often enough, and whose sizes allow it, are compared by dual traversal of their trees; what the
-   bitmaps leave is verified on the sets.
+   bitmaps leave is verified on the sets. A shingle in the prefixes of more than COMMON classes isn't joined on:
+   its classes are compared by dual traversal too, SIDE with SIDE, so that no join grows with the square of them.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ LEAST, UNION = 75, 100
 #: Documents for each bucket of the exchange, permutations, sets of a block at most, bits of a bitmap, components compared with one at once.
 SHARE, ROUNDS, BLOCK, BITS, SIDE = 4096, 2, 1024, 4096, 512
 FAN = 16
+COMMON = 32
 #: Of the hashes, those below are tested in steps 1 and 4.
 HALF = np.uint64(1 << 63)
 
@@ -52,17 +54,22 @@ class Tree:
     """A signature tree over sets, in an order in which like sets are neighbours.
 
     Level 0 has each set's bitmap, size (twice) and slack: size less bits. A node above OR-combines FAN
-    bitmaps and has the range of their sizes and their largest slack.
+    bitmaps and has the range of their sizes and their largest slack. With components given, also their range:
+    two nodes that hold one and the same component only need no look.
     """
 
-    def __init__(self, bitmaps: np.ndarray, size: np.ndarray):
+    def __init__(self, bitmaps: np.ndarray, size: np.ndarray, component: np.ndarray | None = None):
         self.count = len(size)
+        self.components = None if component is None else [(component, component)]
         self.levels = [(bitmaps, size, size, size - np.bitwise_count(bitmaps).sum(axis=1, dtype=np.int64))]
         while len(bitmaps) > 1:
             edge = np.arange(0, len(bitmaps), FAN)
             bitmaps = np.bitwise_or.reduceat(bitmaps, edge, axis=0)
             _, low, high, slack = self.levels[-1]
             self.levels.append((bitmaps, np.minimum.reduceat(low, edge), np.maximum.reduceat(high, edge), np.maximum.reduceat(slack, edge)))
+            if component is not None:
+                first, last = self.components[-1]
+                self.components.append((np.minimum.reduceat(first, edge), np.maximum.reduceat(last, edge)))
 
 
 def possible(a: Tree, b: Tree, level_a: int, level_b: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -75,6 +82,9 @@ def possible(a: Tree, b: Tree, level_a: int, level_b: int, i: np.ndarray, j: np.
     pa, low_a, high_a, slack_a = (v[i] for v in a.levels[level_a])
     pb, low_b, high_b, slack_b = (v[j] for v in b.levels[level_b])
     ok = (UNION * high_a >= LEAST * low_b) & (UNION * high_b >= LEAST * low_a)
+    if a.components and b.components:
+        (first_a, last_a), (first_b, last_b) = a.components[level_a], b.components[level_b]
+        ok &= (first_a[i] != last_a[i]) | (first_b[j] != last_b[j]) | (first_a[i] != first_b[j])
     at = np.flatnonzero(ok)
     if len(at):
         common = np.bitwise_count(pa[at] & pb[at]).sum(axis=1, dtype=np.int64)
@@ -312,10 +322,14 @@ def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> D
     ranked = ranked.withColumn("p", F.expr(f"n - ceil(n * {LEAST} / {UNION}D) + 1")).where("n - own + k <= p")
     last = F.max(F.struct("df", "token")).over(w)
     tokens = cut(ranked.withColumn("last", last).select("class", "root", "n", "p", "last", "token"), "prefixes")
-    x = tokens
-    y = x.select("token", *(F.col(c).alias(c + "2") for c in ("class", "root", "n", "p", "last")))
+    held = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token")
+    common = held.where(F.col("df") > COMMON)
+    # How many common shingles a prefix has: two prefixes share the lesser number of them at most.
+    x = held.where(F.col("df") <= COMMON).join(common.groupBy("class").agg(F.count("*").alias("h")), "class", "left").fillna(0, ["h"])
+    x = x.select("token", "class", "root", "n", "p", "last", "h")
+    y = x.select("token", *(F.col(c).alias(c + "2") for c in ("class", "root", "n", "p", "last", "h")))
     fits = f"root < root2 AND {UNION} * n >= {LEAST} * n2 AND {UNION} * n2 >= {LEAST} * n"
-    both = x.join(y, "token").where(fits).groupBy("class", "class2", "root", "root2", "n", "n2", "p", "p2", "last", "last2").agg(F.count("*").alias("c"))
+    both = x.join(y, "token").where(fits).groupBy("class", "class2", "root", "root2", "n", "n2", "p", "p2", "last", "last2").agg((F.count("*") + F.least(F.min("h"), F.min("h2"))).alias("c"))
     # Of the set whose prefix ends first, all p least shingles were looked up in the other's prefix: at most n - p + c are common.
     need = f"ceil((n + n2) * {LEAST} / {UNION + LEAST}D)"
     enough = f"CASE WHEN last < last2 THEN n - p + c >= {need} WHEN last > last2 THEN n2 - p2 + c >= {need} ELSE greatest(n - p, n2 - p2) + c >= {need} END"
@@ -339,6 +353,23 @@ def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> D
     likely = left.unionByName(right).groupBy("root", "part").applyInPandas(compare, "a long, b long")
     likely = likely.join(close.selectExpr("class AS a", "class2 AS b"), ["a", "b"], "left_semi")
 
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = []
+        for k in (0, 1) if (pdf["i"] != pdf["j"]).iloc[0] else (0, 0):
+            x = pdf[pdf["side"] == k].sort_values(["root", "n", "class"])
+            sides.append((x["class"].to_numpy(), x["root"].to_numpy(), Tree(np.frombuffer(b"".join(x["bitmap"]), np.uint64).reshape(len(x), -1), x["n"].to_numpy(), x["root"].to_numpy())))
+        (na, ra, ta), (nb, rb, tb) = sides
+        if not len(na) or not len(nb):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        found = np.array([(min(na[i], nb[j]), max(na[i], nb[j])) for i, j in traverse(ta, tb, lambda i, j: ra[i] != rb[j])], np.int64).reshape(-1, 2)
+        return pd.DataFrame(np.unique(found, axis=0), columns=["a", "b"])
+
+    spread_out = common.withColumn("parts", F.ceil(F.col("df") / SIDE).cast("int")).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    spread_out = spread_out.select("token", "class", "root", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    spread_out = spread_out.select("token", "class", "root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"))
+    met = spread_out.join(signed, "class").groupBy("token", "i", "j").applyInPandas(meet, "a long, b long")
+    likely = likely.unionByName(met).distinct()
+
     def verify(parts):
         for pdf in parts:
             ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(pdf["x"], pdf["y"])]

@@ -74,8 +74,20 @@ def near_copies(seed, n):
     return out
 
 
-@pytest.mark.parametrize("texts", [ODD + ODD + near_copies(1, 40), []])
-def test_jaccard_against_brute_force(spark, texts):
+def around(seed, n):
+    """Texts that all share shingles with one, many below the threshold."""
+    rng = random.Random(seed)
+    base = prose(seed, 150).split(" ")
+    return [" ".join(f"e{rng.randint(0, 99)}" if rng.random() < p else w for w in base) for p in (rng.choice([0.01, 0.04, 0.06, 0.1]) for _ in range(n))]
+
+
+@pytest.mark.parametrize("few", [False, True])
+@pytest.mark.parametrize("texts", [ODD + ODD + near_copies(1, 40), around(3, 150), []])
+def test_jaccard_against_brute_force(spark, monkeypatch, texts, few):
+    if few:  # nearly all shingles are common ones, in several parts
+        monkeypatch.setattr(jaccard, "COMMON", 2)
+        monkeypatch.setattr(jaccard, "SIDE", 8)
+        monkeypatch.setattr(jaccard, "ROUNDS", 1)
     common.ship(spark)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(docs(spark, texts)).collect()}
     assert got == brute_components(texts)
