@@ -15,17 +15,21 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words whose ids a worker remembers; it forgets them all when there are more. Words a query takes at once.
 REMEMBERED, AT_ONCE = 500_000, 50_000
 
-#: Rows are (w word, p position, id, after: the next position's id, step). A step joins the pairs to the merge
-#: table and contracts each word's pair of least rank, the leftmost of equals (rank and position in one number);
-#: a word without such a pair adds no rows. The last aggregate, in order of position, decodes the word again.
+#: Rows are (w word, p position, id, after: the next position's id, next: the next position, step); the last row's after
+#: and next are null. A step joins the pairs to the merge table and contracts each word's pair of least rank, the
+#: leftmost of equals (rank and position in one number): the pair's first row takes what follows its second, which
+#: goes, and the row before learns the new id. No step sorts. A word without such a pair adds no rows. The last
+#: aggregate, in order of position, decodes the word again.
 CONTRACT = """
-WITH RECURSIVE t(w, p, id, after, step) AS (
-  SELECT w, p, id, lead(id) OVER (PARTITION BY w ORDER BY p), 0 FROM start
+WITH RECURSIVE t(w, p, id, after, next, step) AS (
+  SELECT w, p, id, after, next, 0 FROM start
   UNION ALL
-  SELECT w, p, id, lead(id) OVER (PARTITION BY w ORDER BY p), step FROM (
-    SELECT y.w, y.p, CASE WHEN y.p = (b.best & 1073741823) THEN b.best >> 30 ELSE y.id END AS id, y.step + 1 AS step, lag(y.p) OVER (PARTITION BY y.w ORDER BY y.p) AS previous, b.best
-    FROM t y JOIN (SELECT x.w, min((m.id << 30) | x.p) AS best FROM t x JOIN merges m ON m.a = x.id AND m.b = x.after GROUP BY x.w) b ON y.w = b.w
-  ) WHERE previous IS DISTINCT FROM (best & 1073741823)
+  SELECT y.w, y.p, CASE WHEN y.p = b.p THEN b.id ELSE y.id END, CASE WHEN y.p = b.p THEN b.after WHEN y.next = b.p THEN b.id ELSE y.after END, CASE WHEN y.p = b.p THEN b.next ELSE y.next END, y.step + 1
+  FROM t y JOIN (
+    SELECT best.w, best.best & 1073741823 AS p, best.best >> 30 AS id, best.gone, z.after, z.next
+    FROM (SELECT x.w, min((m.id << 30) | x.p) AS best, arg_min(x.next, (m.id << 30) | x.p) AS gone FROM t x JOIN merges m ON m.a = x.id AND m.b = x.after GROUP BY x.w) best
+    JOIN t z ON z.w = best.w AND z.p = best.gone
+  ) b ON y.w = b.w WHERE y.p <> b.gone
 ), last AS (SELECT w, max(step) AS step FROM t GROUP BY w)
 SELECT w, list(t.id ORDER BY p) AS ids, from_hex(string_agg(v.hex, '' ORDER BY p)) AS bytes FROM t JOIN last USING (w, step) JOIN vocabulary v USING (id) GROUP BY w
 """
@@ -78,7 +82,9 @@ class Coder:
             raws = own[k : k + AT_ONCE]
             size = np.array([len(r) for r in raws])
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            self.db.register("start", pa.table({"w": np.repeat(np.arange(len(raws)), size), "p": place, "id": byte[np.frombuffer(b"".join(raws), np.uint8)]}))
+            ids = byte[np.frombuffer(b"".join(raws), np.uint8)]
+            end = place == np.repeat(size, size) - 1
+            self.db.register("start", pa.table({"w": np.repeat(np.arange(len(raws)), size), "p": place, "id": ids, "after": pa.array(np.roll(ids, -1), mask=end), "next": pa.array(place + 1, mask=end)}))
             for w, ids, back in self.db.execute(CONTRACT).fetchall():
                 if back != raws[w]:
                     raise ValueError("a word doesn't decode to itself")
