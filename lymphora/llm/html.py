@@ -25,7 +25,8 @@ MAIN = frozenset("article main".split())
 #: A start tag of the key closes an open one of the value.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Lines of a window. Text of a window above which the text surges; it dives where a window has none.
-WINDOW, SURGE = 3, 80
+#: By how much text counts less on that side of article and main that has less of the page.
+WINDOW, SURGE, MINOR = 3, 80, 4
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -138,28 +139,36 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
 def main_text(page: str | None) -> str:
     """Blocks between the points where the text surges and dives, joined by newlines.
 
-    A boilerplate block counts as a line without text, as does one that is mostly links, and, if the page
-    has article or main elements with text, one outside them. Over sliding windows of WINDOW lines the text
-    lengths are summed; a stretch begins at the first line with text of a window above SURGE, or above a
-    quarter of the page's largest window if that is less, and ends before windows without text.
+    A boilerplate block counts as a line without text, as does one that is mostly links and in no article or
+    main element. Lines in such elements and lines outside are two sides; a page's home is the side with more
+    text, that in the elements counting twice, and on the other side text counts a MINOR-th. Over sliding
+    windows of WINDOW lines of a side the text lengths are summed. A stretch begins at the first line with text
+    of a window above SURGE, or above a quarter of the page's largest window if that is less, and ends before
+    windows without text, on the other side before windows that don't surge. At home in an article or main element, lines adjoining a stretch belong
+    to it, and the next line with text beyond boilerplate stays too; else a line right beside a stretch does.
     """
     if not page:
         return ""
     found = lines(page)
-    contained = any(inside and not off for _, inside, off, _ in found)
-    size = [0 if off or contained and not inside or not contained and linked * 2 > len(t) else len(t) for t, inside, off, linked in found]
-    sums = [sum(size[k : k + WINDOW]) for k in range(len(size))]
-    least = 0 if contained else min(SURGE, max(sums, default=0) // 4)
-    keep, k = [], 0
-    while k < len(size):
-        if sums[k] > least:  # surge
-            while k < len(size) and sums[k] > 0:  # until it dives
-                if size[k]:
-                    keep.append(found[k][0])
-                k += 1
-        else:
-            k += 1
-    return "\n".join(keep)
+    size = [0 if off or not inside and linked * 2 > len(t) else len(t) for t, inside, off, linked in found]
+    side = [inside for _, inside, _, _ in found]
+    within = sum(n for n, inside in zip(size, side) if inside)
+    home = 2 * within >= sum(size) - within if within else False
+    size = [n if inside == home else -(-n // MINOR) for n, inside in zip(size, side)]
+    sums = [sum(n for n, at in zip(size[k : k + WINDOW], side[k : k + WINDOW]) if at == side[k]) for k in range(len(size))]
+    least = min(SURGE, max(sums, default=0) // 4)
+    held, up = [False] * len(size), {True: False, False: False}
+    for k, n in enumerate(sums):
+        up[side[k]] = n > least or up[side[k]] and n > 0 and side[k] == home
+        held[k] = up[side[k]] and size[k] > 0
+    for k in [*range(1, len(size)), *range(len(size) - 2, -1, -1)] if home else []:
+        held[k] |= size[k] > 0 and any(held[j] and side[j] == side[k] == home for j in (k - 1, k + 1) if 0 <= j < len(size))
+    keep = list(held)
+    texts = [k for k, n in enumerate(size) if n and side[k] == home]
+    for i, k in enumerate(texts):
+        near = [j for j in texts[max(i - 1, 0) : i + 2] if j != k and (home or abs(j - k) == 1)]
+        keep[k] = keep[k] or any(held[j] for j in near)
+    return "\n".join(t for (t, _, _, _), kept in zip(found, keep) if kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -197,6 +197,13 @@ def test_html():
     assert html.main_text(f"<body><ul><li><a href=1>Home</a></li></ul><div>{long}</div><div><p>{long}</p></div></body>") == "\n".join([long.strip()] * 2)
 
 
+def test_html_windows_decide_beside_articles():
+    long, gap = "text " * 60, "<nav>a</nav>" * 4
+    assert html.main_text(f"<div><p>{long}</p><p>{long}</p></div><article class='related-card'><h3>Teaser</h3><p>read on</p></article>") == "\n".join([long.strip()] * 2)
+    assert html.main_text(f"<div><p>{long}{long}</p></div><article><p>{long * 4}</p></article><div>Legal</div>") == f"{(long * 2).strip()}\n{(long * 4).strip()}"
+    assert html.main_text(f"<article><h1>Title</h1>{gap}<p>{long}</p>{gap}<p>near</p>{gap}<p>stray</p></article>") == f"Title\n{long.strip()}\nnear"
+
+
 def test_mixing(spark):
     assert mixing.targets([10, 10, 10], [1, 2, 3]) == pytest.approx([5, 10, 15])
     assert mixing.targets([100, 1, 1], [1, 2, 3]) == pytest.approx([96, 3, 3])
