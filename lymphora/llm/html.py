@@ -18,6 +18,8 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 DROP = frozenset("nav footer aside form script style head title noscript template iframe svg object canvas audio video button input select textarea label fieldset datalist dialog menu noembed noframes xmp map math search".split())
 #: Words of class, id and role that mark boilerplate.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense adsbygoogle alert banner breadcrumb breadcrumbs comment comments comment-list commentlist complementary contentinfo consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion related respond search share sharing shoutbox sidebar signup skyscraper social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
+#: A class with one of these parts tells the state of an element, not what it is.
+STATE = frozenset("no not non with without has have is layout fixed".split())
 #: Elements that a mark in their class doesn't remove.
 KEEP = frozenset("html body article main h1 h2 h3 h4 h5 h6 p".split())
 #: Containers whose lines are the article, if the page has any.
@@ -34,23 +36,46 @@ WORD = re.compile(r"[a-z0-9]+")
 RAW_END = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in RAW}
 
 
-def marked(tag: str, attrs: str) -> bool:
-    """Whether the attributes say that the element is hidden or boilerplate."""
+def is_mark(token: str) -> bool:
+    """Whether a class is a mark as a whole, or begins or ends with one, as in cookie-notice or site-footer."""
+    if token in MARKS:
+        return True
+    parts = WORD.findall(token)
+    return bool(parts) and (parts[0] in MARKS or parts[-1] in MARKS) and STATE.isdisjoint(parts)
+
+
+def hidden(attrs: str) -> bool:
+    """Whether the attributes say that the element isn't shown."""
     for name, a, b, c in ATTR.findall(attrs):
         value, name = (a or b or c).lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name in ("class", "id", "role") and tag not in KEEP and any(w in MARKS for w in WORD.findall(value)):
-            return True
     return False
 
 
+def marked(tag: str, attrs: str) -> bool:
+    """Whether class, id or role say that the element is boilerplate."""
+    return tag not in KEEP and any(a[0].lower() in ("class", "id", "role") and any(map(is_mark, (a[1] or a[2] or a[3]).lower().split())) for a in ATTR.findall(attrs))
+
+
+def spared(found: list[tuple[str, bool, bool, int, tuple[int, ...]]]) -> set[int]:
+    """Marked elements that hold most of the text in article and main elements, or of the page's if it has none there."""
+    shown = [(len(t), marks) for t, inside, off, _, marks in found if inside and not off] or [(len(t), marks) for t, _, off, _, marks in found if not off]
+    held: dict[int, int] = {}
+    for n, marks in shown:
+        for m in marks:
+            held[m] = held.get(m, 0) + n
+    total = sum(n for n, _ in shown)
+    return {m for m, n in held.items() if 2 * n > total}
+
+
 def lines(page: str) -> list[tuple[str, bool, bool, int]]:
     """The page's blocks of text in order: (text, in an article or main element, boilerplate, characters in links)."""
-    out: list[tuple[str, bool, bool, int]] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is dropped
+    out: list[tuple[str, bool, bool, int, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool, bool]] = []  # open elements, whether each is dropped, whether each is marked
+    marks: list[int] = []  # numbers of the open elements that are marked
     parts: list[str] = []
-    dropped = inside = links = 0
+    dropped = inside = links = numbered = 0
     linked = 0
 
     def flush():
@@ -58,16 +83,18 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((text, inside > 0, dropped > 0, linked))
+                out.append((text, inside > 0, dropped > 0, linked, tuple(marks)))
             parts.clear()
         linked = 0
 
     def pop():
         nonlocal dropped, inside, links
-        tag, off = stack.pop()
-        if tag in BLOCKS or off:
+        tag, off, mark = stack.pop()
+        if tag in BLOCKS or off or mark:
             flush()
         dropped -= off
+        if mark:
+            marks.pop()
         inside -= tag in MAIN
         links -= tag == "a"
 
@@ -90,7 +117,7 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
         if not tag:
             continue
         if m[1]:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, _, _ in stack):
                 if tag not in BLOCKS:  # an inline end tag doesn't close a block
                     k = len(stack) - 1
                     while stack[k][0] != tag and stack[k][0] not in BLOCKS:
@@ -104,7 +131,7 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
                 flush()
             continue
         if tag in BLOCKS:
-            if stack and any(t == "p" for t, _ in stack[-6:]):  # a block ends an open paragraph
+            if stack and any(t == "p" for t, _, _ in stack[-6:]):  # a block ends an open paragraph
                 k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p" or stack[k][0] in BLOCKS), -1)
                 if k >= 0 and stack[k][0] == "p":
                     while len(stack) > k:
@@ -125,15 +152,20 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
                 flush()
             at = close.end() if close else end
             continue
-        off = tag in DROP or tag == "header" and not inside or marked(tag, m[3])
-        if off:
+        off = tag in DROP or tag == "header" and not inside or hidden(m[3])
+        mark = not off and marked(tag, m[3])
+        if off or mark:
             flush()
-        stack.append((tag, off))
+        stack.append((tag, off, mark))
         dropped += off
+        if mark:
+            numbered += 1
+            marks.append(numbered)
         inside += tag in MAIN
         links += tag == "a"
     flush()
-    return out
+    free = spared(out)
+    return [(t, inside, off or any(k not in free for k in own), n) for t, inside, off, n, own in out]
 
 
 def main_text(page: str | None) -> str:

@@ -204,6 +204,14 @@ def test_html_windows_decide_beside_articles():
     assert html.main_text(f"<article><h1>Title</h1>{gap}<p>{long}</p>{gap}<p>near</p>{gap}<p>stray</p></article>") == f"Title\n{long.strip()}\nnear"
 
 
+def test_html_marks_of_wrappers():
+    long, side = "text " * 60, "<div class='left-sidebar'>Aside</div><div id='site-footer'>Foot</div><div class='ad-slot'>Buy</div>"
+    for mark in ("class='content with-sidebar'", "id='page' class='no-sidebar'", "class='layout-header-fixed'", "class='has-comments'", "class='comments'", "id='header-wide'"):
+        assert html.main_text(f"<div {mark}><article><p>{long}</p></article>{side}</div>".replace("</article>" + side, f"{side}</article>")) == long.strip()
+        assert html.main_text(f"<section {mark}><p>{long}</p></section>{side}") == long.strip()
+    assert html.main_text(f"<article><p>{long}</p></article><div class='related'><article><p>{long[:90]}</p></article></div><div class='comments'>{long * 3}</div>") == long.strip()
+
+
 def test_mixing(spark):
     assert mixing.targets([10, 10, 10], [1, 2, 3]) == pytest.approx([5, 10, 15])
     assert mixing.targets([100, 1, 1], [1, 2, 3]) == pytest.approx([96, 3, 3])
