@@ -78,25 +78,48 @@ def discards(clonotype_ratio: float = 0.12, exact_ratio: float = 0.1, unique_d_r
 
 
 def elimination_edges(candidates: DataFrame, **limits) -> DataFrame:
-    """(reference, candidate, reason) of all ordered pairs. Pairs of one gene, or of one prefix, come from equi-joins."""
+    """(reference, candidate, reason) of all ordered pairs. Pairs of one gene, or of one prefix, come from equi-joins,
+    prefixes being as long as candidates are."""
     rules = discards(**limits)
-    gene = candidates.withColumn("g_", F.substring_index("source", "*", 1))
+    gene = candidates.withColumn("g_", F.coalesce(F.substring_index("source", "*", 1), F.lit("")))
     reason = F.coalesce(*(F.when(c, F.lit(k)) for k, c in rules.items()))
     pairs = gene.alias("r").join(gene.alias("c"), (F.col("r.g_") == F.col("c.g_")) & (F.col("r.name") != F.col("c.name")))
     own = pairs.select(F.col("r.name").alias("reference"), F.col("c.name").alias("candidate"), reason.alias("reason")).where("reason IS NOT NULL")
-    firsts = gene.withColumn("h_", F.left("consensus", F.lit(10)))
-    across = firsts.alias("r").join(firsts.alias("c"), (F.col("r.h_") == F.col("c.h_")) & (F.col("r.g_") != F.col("c.g_")) & rules["identical_to"])
-    return own.unionByName(across.select(F.col("r.name").alias("reference"), F.col("c.name").alias("candidate"), F.lit("identical_to").alias("reason")))
+    targets = gene.select(F.col("name").alias("candidate"), F.col("g_").alias("c_gene"), F.col("cluster_size").alias("c_size"), "consensus").where("consensus IS NOT NULL")
+    starts = starting_with(gene.select(F.col("name").alias("reference"), "g_", "cluster_size", F.col("consensus").alias("full")), "full", targets, "consensus")
+    across = starts.where("g_ <> c_gene AND cluster_size >= c_size").select("reference", "candidate", F.lit("identical_to").alias("reason"))
+    return own.unionByName(across)
+
+
+def linked_genes(links: DataFrame, rounds: int = 60) -> DataFrame:
+    """(gene, group) of the genes in links (a, b), group being the least gene that links reach."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    roots = both.select(F.col("a").alias("gene"), F.col("a").alias("group")).distinct()
+    for _ in range(rounds):
+        near = both.join(roots.withColumnRenamed("gene", "b"), "b").groupBy(F.col("a").alias("gene")).agg(F.min("group").alias("g"))
+        hop = roots.join(near, "gene").select("gene", "group", F.least("group", "g").alias("least"))
+        # and on to the group of the least gene, so that chains shorten by half
+        far = roots.select(F.col("gene").alias("least"), F.col("group").alias("f"))
+        new = hop.join(far, "least").select("gene", F.least("least", "f").alias("new"), "group").checkpoint()
+        moved = new.where("new < group").limit(1).count()
+        roots = new.select("gene", F.col("new").alias("group"))
+        if not moved:
+            return roots
+    raise RuntimeError("groups did not settle")
 
 
 def survivors(candidates: DataFrame, edges: DataFrame, order: str = "name") -> DataFrame:
-    """GER7: greedy elimination in table order within a gene: a candidate that is gone discards nobody any more."""
-    rows = candidates.select("name", F.substring_index("source", "*", 1).alias("gene"))
-    own = rows.withColumnRenamed("name", "candidate").join(edges, "candidate", "left").groupBy("gene", "candidate").agg(F.collect_set("reference").alias("hits"))
+    """GER7: greedy elimination in table order: a candidate that is gone discards nobody any more. Genes that edges
+    link, directly or over others, are resolved together."""
+    rows = candidates.select("name", F.col(order).alias("at"), F.coalesce(F.substring_index("source", "*", 1), F.lit("")).alias("gene"))
+    of = lambda n: rows.select(F.col("name").alias(n), F.col("gene").alias(n[0]))
+    links = edges.join(of("reference"), "reference").join(of("candidate"), "candidate").where("r <> c").select(F.col("r").alias("a"), F.col("c").alias("b")).distinct()
+    rows = rows.join(linked_genes(links), "gene", "left").withColumn("group", F.coalesce("group", "gene"))
+    own = rows.withColumnRenamed("name", "candidate").join(edges, "candidate", "left").groupBy("group", "candidate", "at").agg(F.collect_set("reference").alias("hits"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         gone: set = set()
-        names = sorted(pdf["candidate"])
+        names = list(pdf.sort_values(["at", "candidate"])["candidate"])
         by: dict = {}
         for c, refs in zip(pdf["candidate"], pdf["hits"]):
             for r in refs:
@@ -106,7 +129,7 @@ def survivors(candidates: DataFrame, edges: DataFrame, order: str = "name") -> D
                 gone.update(by.get(r, ()))
         return pd.DataFrame({"name": [n for n in names if n not in gone]})
 
-    return own.groupBy("gene").applyInPandas(run, "name string")
+    return own.groupBy("group").applyInPandas(run, "name string")
 
 
 def expressed_alleles(usage: DataFrame, share: float = 0.1) -> DataFrame:

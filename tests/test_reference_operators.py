@@ -65,6 +65,45 @@ def test_chimeras(spark):
     assert [(r.name, r.k, r.prefix_of, r.suffix_of) for r in got] == [("q", 12, "a", "b")]
 
 
+def test_elimination_against_brute_force(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(90):  # few sequences, so that genes share copies, and prefixes of all lengths
+        full = "ACGTTGCAACCGGTTA"[rng.randint(0, 1) * 3 :]
+        rows.append((f"n{k:02}", f"IGHV{rng.randint(1, 9) if k < 60 else 10 + k}-1*0{rng.randint(1, 3)}", full[: rng.choice([1, 4, 9, 10, 12, 16])] + rng.choice(["", "", "G", "CT"]), rng.randint(0, 5), rng.randint(1, 30), rng.randint(0, 12), rng.randint(0, 9)))
+    rows.append(("z", None, "ACGT", 1, 0, 0, 0))
+    c = spark.createDataFrame(rows, "name string, source string, consensus string, cluster_size int, CDR3s_exact int, Ds_exact int, exact int")
+    want = {}
+    for r in rows:
+        for q in rows:
+            g = r[1] and q[1] and r[1].split("*")[0] == q[1].split("*")[0]
+            if r is q:
+                continue
+            if r[3] >= q[3] and r[2].startswith(q[2]):
+                want[r[0], q[0]] = "identical_to"
+            elif g and r[4] and q[4] / r[4] < 0.12:
+                want[r[0], q[0]] = "clonotype_ratio"
+            elif g and r[6] and q[6] / r[6] < 0.1:
+                want[r[0], q[0]] = "exact_ratio"
+            elif g and r[3] >= q[3] and r[5] >= 10 and q[5] / r[5] < 0.35:
+                want[r[0], q[0]] = "unique_D_ratio"
+    edges = db.elimination_edges(c).collect()
+    assert len(edges) == len(want) and {(e.reference, e.candidate): e.reason for e in edges} == want
+    assert any(len(b[2]) < 10 and a[1] and b[1] and a[1][:-3] != b[1][:-3] for a in rows for b in rows if (a[0], b[0]) in want)
+    gone = set()
+    for r in rows:
+        if r[0] not in gone:
+            gone |= {q for p, q in want if p == r[0]}
+    assert {r.name for r in db.survivors(c, db.elimination_edges(c)).collect()} == {r[0] for r in rows} - gone
+
+
+def test_survivors_of_linked_genes(spark):
+    names = [f"c{k:02}" for k in range(20)]
+    c = spark.createDataFrame([(n, f"IGHV{k}*01") for k, n in enumerate(names)], "name string, source string")
+    e = spark.createDataFrame(list(zip(names, names[1:])), "reference string, candidate string")
+    assert sorted(r.name for r in db.survivors(c, e).collect()) == names[::2]
+
+
 def test_fasta(spark, tmp_path):
     p = tmp_path / "x.fasta"
     p.write_text(">a first one\nACG\nT\n>b\n\n>a\nacgt\n")
