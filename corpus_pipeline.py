@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lymphora.llm import bpe, jaccard, mixing, quality, suffixes
 from lymphora.llm.common import cut, small_batches, table
@@ -33,12 +34,23 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near duplicates; of rows with one doc_id, one.
-    Rows without a doc_id stay."""
+    """The document with the least doc_id of each group of near duplicates; of repeated rows, one, and of different
+    texts of one doc_id, those that are no near duplicates. Rows without a doc_id stay."""
     docs = documents(docs)
-    known = docs.where("doc_id IS NOT NULL")
-    roots = jaccard.components(known).where("doc_id = component_id").select("doc_id").distinct()
-    return known.join(roots, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS).unionByName(docs.where("doc_id IS NULL"))
+    known = docs.where("doc_id IS NOT NULL").withColumn("k2", F.xxhash64("text"))
+    # a doc_id's first text goes by the doc_id; others by a hash, as components takes rows of one doc_id as one
+    own = known.select("doc_id", "k2").distinct().withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("k2")))
+    own = cut(own.withColumn("row", F.when(F.col("n") == 1, F.col("doc_id")).otherwise(F.xxhash64("doc_id", "k2", "n"))), "rows")
+    more = own.where("n > 1").select("doc_id", "k2", "row")
+    if more.limit(1).count():
+        rows = cut(known.dropDuplicates(["doc_id", "k2"]).join(own.select("doc_id", "k2", "row"), ["doc_id", "k2"]), "texts")
+        groups = jaccard.components(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+        best = groups.join(own, "row").groupBy("component_id").agg(F.min_by("row", F.struct("doc_id", "n")).alias("row"))
+        kept = rows.join(best.select("row"), "row", "left_semi")
+    else:
+        roots = jaccard.components(known).where("doc_id = component_id").select("doc_id").distinct()
+        kept = known.join(roots, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,19 +73,19 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture by source: a row for each document and round (at most 3) in which words of it are taken,
+    """The mixture by source: a row for each row of docs and round (at most 3) in which words of it are taken,
     with those words. What is between two words of one run stays; between runs there is a newline."""
     docs = documents(docs)
     taken = mixing.mix_documents(docs)
-    rounds = taken.select("doc_id", "first", "words", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("round"))
-    rounds = rounds.groupBy("doc_id", "round").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("runs"))
+    rounds = taken.select(*mixing.KEY, "first", "words", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("round"))
+    rounds = rounds.groupBy(*mixing.KEY, "round").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("runs"))
 
     def run(parts):
         for pdf in parts:
             text = [mixing.words_of(t, [(r["first"], r["words"]) for r in runs]) for t, runs in zip(pdf["text"], pdf["runs"])]
             yield pdf.assign(text=text, n_chars=[len(t) for t in text])[COLUMNS]
 
-    return docs.join(rounds, "doc_id").select(*COLUMNS, "runs").mapInPandas(run, SCHEMA)
+    return mixing.numbered(docs).join(rounds, mixing.KEY).select(*COLUMNS, "runs").mapInPandas(run, SCHEMA)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 _word = re.compile(WORD)
 #: Words of a block, blocks of an output shard, chunks that a source's stream is summed in.
 BLOCK, SHARD, CHUNKS, SEED = 64, 4096, 1024, 20
+#: Columns that tell rows apart, see numbered.
+KEY = ["k1", "k2", "copy"]
 #: Sources are held on the driver and sent to the tasks; more of them than this is an error.
 MOST_SOURCES = 100_000
 
@@ -58,14 +60,23 @@ def permuted(k: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
+def numbered(docs: DataFrame, *more: Column) -> DataFrame:
+    """docs with KEY, and the columns more: a hash of doc_id, one of the text, and a number for rows that share both,
+    so that each row has a key of its own, also where the doc_id is null or occurs twice."""
+    keys = docs.select("*", F.xxhash64("doc_id").alias("k1"), F.xxhash64("text").alias("k2"), *more)
+    return keys.withColumn("copy", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("doc_id", "source")))
+
+
 class Mix:
-    """A mixture: sizes (doc_id, source, size), sources (a list of dicts), pieces (source_no, block, doc_id,
-    first word, words) and slots (shard, slot, source_no, block)."""
+    """A mixture: sizes (doc_id, KEY, source, size), sources (a list of dicts), pieces (source_no, block, doc_id,
+    KEY, first word, words) and slots (shard, slot, source_no, block)."""
 
     def __init__(self, docs: DataFrame, seed: int = SEED):
         spark = docs.sparkSession
-        slim = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-        self.sizes = sizes = cut(slim.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS)).cast("int")), "sizes")
+        size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+        slim = numbered(docs.select("doc_id", "source", "text"), size).drop("text")
+        # rows without a doc_id are spread by their texts
+        self.sizes = sizes = cut(slim.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce("doc_id", "k2")), F.lit(CHUNKS)).cast("int")), "sizes")
         by_chunk = cut(sizes.groupBy("source", "chunk").agg(F.sum("size").alias("n")), "chunks")
         totals = by_chunk.groupBy("source").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()
         if len(totals) > MOST_SOURCES:
@@ -81,12 +92,12 @@ class Mix:
         # broadcast: at most CHUNKS rows a source, and MOST_SOURCES sources; beyond 10 MB Spark joins by shuffle
         base = by_chunk.withColumn("base", F.coalesce(F.sum("n").over(at), F.lit(0))).drop("n")
         base = self._numbered(base)
-        within = Window.partitionBy("source_no", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        within = Window.partitionBy("source_no", "chunk").orderBy("doc_id", "k2", "copy").rowsBetween(Window.unboundedPreceding, -1)
         placed = self._numbered(sizes).where("size > 0").join(base.drop("source"), ["source_no", "chunk"])
         placed = placed.withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
         span = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.col("size") - 1) / BLOCK))))
         first = F.greatest(F.col("block") * BLOCK, F.col("start"))
-        self.pieces = span.select("source_no", "block", "doc_id", (first - F.col("start")).alias("first"), (F.least((F.col("block") + 1) * BLOCK, F.col("start") + F.col("size")) - first).alias("words"))
+        self.pieces = span.select("source_no", "block", "doc_id", *KEY, (first - F.col("start")).alias("first"), (F.least((F.col("block") + 1) * BLOCK, F.col("start") + F.col("size")) - first).alias("words"))
         self.slots = self._slots(spark, seed)
 
     def _numbered(self, df: DataFrame) -> DataFrame:
@@ -150,7 +161,7 @@ class Mix:
 
 
 def mix_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """(doc_id, times, first, words): runs of a document's words and how often the mix takes them.
+    """(doc_id, KEY, times, first, words): runs of a row's words and how often the mix takes them.
 
     A null text has no words and is never taken; a null source is a source of its own, last in order;
     an empty table gives an empty mix. Extra columns are ignored. The draw depends on the seed alone.
@@ -175,13 +186,13 @@ def words_of(text: str, runs: list[tuple[int, int]]) -> str:
 
 def _taken(mix: Mix) -> DataFrame:
     used = mix.slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
-    return mix.pieces.join(used, ["source_no", "block"]).select("doc_id", "times", "first", "words")
+    return mix.pieces.join(used, ["source_no", "block"]).select("doc_id", *KEY, "times", "first", "words")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op3: words taken of each document."""
+    """op3: words taken of each row."""
     mix = Mix(table(spark, sf_dir, "documents"))
-    taken = _taken(mix).groupBy("doc_id").agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
+    taken = _taken(mix).groupBy(*KEY).agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
     own = F.broadcast(mix.table.select(F.col("source").alias("source__"), "source_size", "target"))
-    rows = mix.sizes.join(own, F.col("source").eqNullSafe(F.col("source__"))).join(taken, "doc_id", "left")
+    rows = mix.sizes.join(own, F.col("source").eqNullSafe(F.col("source__"))).join(taken, KEY, "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

@@ -231,6 +231,36 @@ def test_mixing(spark):
     assert {r.doc_id for r in mixing.mix_documents(docs(spark, [])).collect()} == set()
 
 
+def test_mixing_null_and_repeated_ids(spark, tmp_path):
+    common.ship(spark)
+    texts = [prose(i, 200 + i) for i in range(40)]
+    ids = [None] * 20 + [k // 4 for k in range(20)]
+    rows = [(d, t, "en", "ab"[k % 2], len(t)) for k, (d, t) in enumerate(zip(ids, texts))]
+    rows += [rows[0]] * 3 + [(7, None, "en", "a", None), (-1, texts[0], "en", "a", 1)]
+    df = spark.createDataFrame(rows, corpus_pipeline.SCHEMA)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = mixing.query(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(r.taken <= 3 * r.size for r in got)
+    size = lambda r: len((r[1] or "").split())
+    for s in "ab":
+        own = [r for r in got if r.source_size == sum(size(q) for q in rows if q[3] == s)]
+        assert len(own) == sum(q[3] == s for q in rows) and sum(r.taken for r in own) == pytest.approx(own[0].target, rel=0.05)
+    mixed = corpus_pipeline.mixed(spark, df, "").collect()
+    assert sum(size(r) for r in mixed) == sum(r.taken for r in got)
+    assert Counter(r.doc_id for r in mixed)[None] > 0
+    count = Counter((q[0], w) for q in rows for w in (q[1] or "").split())
+    assert all(n <= 3 * count[k] for k, n in Counter((r.doc_id, w) for r in mixed for w in r.text.split()).items())
+
+
+def test_pipeline_groups_keep_texts_of_one_id(spark):
+    common.ship(spark)
+    a, b, c = (prose(k, 100) for k in (1, 2, 3))
+    rows = [(1, a), (1, b), (1, b), (5, b + " end"), (6, c), (7, c), (7, a), (None, a), (None, a), (8, None), (9, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], corpus_pipeline.SCHEMA)
+    got = corpus_pipeline.one_of_each_group(spark, df, "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, a), (1, b), (6, c), (None, a), (None, a), (8, None), (9, None)])
+
+
 def test_language(spark):
     common.ship(spark)
     got = {r.doc_id: r for r in langid.query(spark, D).collect()}
