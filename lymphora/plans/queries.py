@@ -81,6 +81,7 @@ query("JOI1_germline_lookup", ", g AS (SELECT v_call, min(V_nt) AS germline FROM
 query("JOI3_intersection", ", a AS (SELECT v_call, j_call, cdr3, count(*) FILTER (WHERE library = 'O') AS x, count(*) FILTER (WHERE library = 'F') AS y FROM r GROUP BY 1, 2, 3) SELECT v_call, j_call, cdr3, least(x, y) AS count FROM a WHERE x > 0 AND y > 0")(lambda r: db.intersection(r.where("library = 'O'"), r.where("library = 'F'"), ["v_call", "j_call", "cdr3"]))
 query("JOI15_common_v", "SELECT V_nt, count(DISTINCT j_call) AS datasets, count(*) AS rows FROM r GROUP BY 1 HAVING count(DISTINCT j_call) >= 2")(lambda r: db.common_sequences(r, "V_nt", "j_call", 2))
 query("JOI5_substrings", ", n AS (SELECT DISTINCT cdr3 AS needle FROM r WHERE length(cdr3) BETWEEN 1 AND 12), h AS (SELECT DISTINCT VDJ_nt AS haystack FROM r) SELECT needle, haystack FROM n JOIN h ON contains(haystack, needle)")(lambda r: db.substrings(r.where("length(cdr3) <= 12").select(F.col("cdr3").alias("needle")), r.select(F.col("VDJ_nt").alias("haystack"))))
+query("JOI5_all_substrings", ", n AS (SELECT DISTINCT cdr3 AS needle FROM r WHERE cdr3 <> ''), h AS (SELECT DISTINCT VDJ_nt AS haystack FROM r) SELECT needle, haystack FROM n JOIN h ON contains(haystack, needle)")(lambda r: db.substrings(r.select(F.col("cdr3").alias("needle")), r.select(F.col("VDJ_nt").alias("haystack"))))
 query("JOI6_prefix_join", ", k AS (SELECT DISTINCT V_nt AS candidate FROM r WHERE V_errors = 0) SELECT candidate, count(*) AS full_exact FROM r JOIN k ON starts_with(VDJ_nt, candidate) GROUP BY 1")(lambda r: db.starting_with(r.select("VDJ_nt"), "VDJ_nt", r.where("V_errors = 0").select(F.col("V_nt").alias("candidate")).distinct(), "candidate").groupBy("candidate").agg(F.count("*").alias("full_exact")))
 query("SET3_missing", "SELECT DISTINCT cdr3 FROM r WHERE library = 'O' AND cdr3 NOT IN (SELECT cdr3 FROM r WHERE library = 'F')")(lambda r: r.where("library = 'O'").select("cdr3").distinct().join(r.where("library = 'F'").select("cdr3"), "cdr3", "left_anti"))
 query("SET2_differences", ", a AS (SELECT DISTINCT V_nt FROM r WHERE V_errors < 3), b AS (SELECT DISTINCT V_nt FROM r WHERE V_errors > 1) SELECT coalesce(a.V_nt, b.V_nt) AS V_nt, CASE WHEN a.V_nt IS NULL THEN 'b' WHEN b.V_nt IS NULL THEN 'a' ELSE 'both' END AS side FROM a FULL JOIN b ON a.V_nt = b.V_nt")(
@@ -97,12 +98,13 @@ SQL["SIM8_clonotypes"] = SQL["SIM8_clonotypes"].replace("WITH ", "WITH RECURSIVE
 query("JOI2_clonoquery", """, q AS (SELECT DISTINCT v_call, j_call, cdr3 FROM r WHERE library = 'F' AND V_errors = 0), x AS (SELECT v_call, j_call, cdr3, sequence_id FROM r WHERE library = 'O' AND V_errors = 1)
  SELECT q.v_call, q.j_call, q.cdr3, x.sequence_id AS match FROM q LEFT JOIN x ON q.v_call = x.v_call AND q.j_call = x.j_call AND length(q.cdr3) = length(x.cdr3) AND (q.cdr3 = x.cdr3 OR length(q.cdr3) > 0 AND hamming(q.cdr3, CASE WHEN length(q.cdr3) = length(x.cdr3) THEN x.cdr3 ELSE q.cdr3 END) <= 2)""")(
     lambda r: sim.clonoquery(r.where("library = 'F' AND V_errors = 0").select("v_call", "j_call", "cdr3").distinct(), r.where("library = 'O' AND V_errors = 1"), 2).select("v_call", "j_call", "cdr3", F.col("sequence_id_ref").alias("match")))
+query("JOI2_clonoquery_all", None)(lambda r: sim.clonoquery(r.where("library = 'F' AND V_errors = 0").select("v_call", "j_call", "cdr3").distinct(), r.where("library = 'O'"), 2).select("v_call", "j_call", "cdr3", F.col("sequence_id_ref").alias("match")))
 query("SIM13_mindiffrate", """, o AS (SELECT *, first_value(cdr3) OVER (PARTITION BY v_call, j_call, length(cdr3) ORDER BY V_SHM, sequence_id) AS root FROM r WHERE cdr3 <> '')
  SELECT sequence_id, round(levenshtein(root, cdr3) / length(cdr3)::DOUBLE * 100, 1) AS rate FROM o""")(lambda r: r.where("cdr3 <> ''").withColumn("root", F.first("cdr3").over(Window.partitionBy("v_call", "j_call", F.length("cdr3")).orderBy("V_SHM", "sequence_id"))).select("sequence_id", F.round(F.levenshtein("root", "cdr3") / F.length("cdr3") * 100, 1).alias("rate")))
 query("PRE3_dereplicate", "SELECT VDJ_nt AS sequence, count(*) AS size, min(sequence_id) AS name FROM r GROUP BY 1")(lambda r: pre.dereplicate(r.select(F.col("VDJ_nt").alias("sequence"), F.col("sequence_id").alias("name"), F.col("sequence_id").alias("_row"))).select("sequence", "size", "name"))
 query("PRE1_barcode_split", "SELECT left(VDJ_nt, 4) AS barcode, substring(VDJ_nt, 5) AS body, count(*) AS count FROM r GROUP BY 1, 2")(lambda r: r.groupBy(pre.barcode(F.col("VDJ_nt"), 4).alias("barcode"), pre.unbarcoded(F.col("VDJ_nt"), 4).alias("body")).agg(F.count("*").alias("count")))
 query("PRE2_trim_g", "SELECT DISTINCT VDJ_nt, ltrim(VDJ_nt, 'G') AS trimmed FROM r")(lambda r: r.select("VDJ_nt", pre.trim_g(F.col("VDJ_nt")).alias("trimmed")).distinct())
-query("PRE6_neighbours", None)(lambda r: pre.hamming_neighbours(r.where("length(cdr3) = 9"), "cdr3"))
+query("PRE6_neighbours", None)(lambda r: pre.hamming_neighbours(r, "cdr3"))
 query("PRE10_barcode_statistics", ", n AS (SELECT barcode, count(*) AS n FROM r GROUP BY 1) SELECT count(*) AS unique_barcodes, count(*) FILTER (WHERE n = 1) AS singletons, count(*) FILTER (WHERE n = 2) AS pairs, count(*) FILTER (WHERE n > 2) AS larger FROM n")(pre.barcode_statistics)
 query("PRE11_length_histogram", "SELECT length(VDJ_nt) AS length, count(*) AS frequency FROM r GROUP BY 1")(lambda r: pre.length_histogram(r, "VDJ_nt"))
 query("PRE13_names_by_sequence", "SELECT V_nt, string_agg(v_call, ',' ORDER BY v_call) AS names FROM (SELECT DISTINCT V_nt, v_call FROM r) GROUP BY 1")(lambda r: pre.names_by_sequence(r.select("V_nt", "v_call").distinct(), "v_call", "V_nt"))
@@ -126,6 +128,8 @@ query("GER_edges", EDGES + " SELECT reference, candidate, reason FROM e")(lambda
 query("GER7_survivors", None)(lambda r: (lambda c: db.survivors(c, db.elimination_edges(c)))(candidates(r)))
 query("JOI10_closest", f", {CANDIDATES}, w AS (SELECT name, consensus FROM c WHERE source LIKE '%*01'), d AS (SELECT c.name, levenshtein(c.consensus, w.consensus) AS distance, w.name AS closest FROM c CROSS JOIN w WHERE c.source LIKE 'IGHV1-1%'), k AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, closest) AS k FROM d) SELECT name, distance::INT AS distance, closest FROM k WHERE k = 1")(
     lambda r: (lambda c: db.nearest(c.where("source LIKE 'IGHV1-1%'").select("name", F.col("consensus").alias("sequence")), c.where("source LIKE '%*01'").select("name", F.col("consensus").alias("sequence"))))(candidates(r)))
+query("JOI10_all_closest", f", {CANDIDATES}, w AS (SELECT name, consensus FROM c WHERE source LIKE '%*01'), d AS (SELECT c.name, levenshtein(c.consensus, w.consensus) AS distance, w.name AS closest FROM c CROSS JOIN w), k AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, closest) AS k FROM d) SELECT name, distance::INT AS distance, closest FROM k WHERE k = 1")(
+    lambda r: (lambda c: db.nearest(c.select("name", F.col("consensus").alias("sequence")), c.where("source LIKE '%*01'").select("name", F.col("consensus").alias("sequence"))))(candidates(r)))
 query("JOI13_chimeras", None)(lambda r: (lambda c: db.chimeras(c, c))(candidates(r).select("name", F.col("consensus").alias("sequence"))))
 query("HAP1_expressed_alleles", ", u AS (SELECT v_call AS gene, count(*) AS count FROM r WHERE library = 'O' GROUP BY 1) SELECT gene, count FROM (SELECT *, max(count) OVER (PARTITION BY split_part(gene, '*', 1)) AS top FROM u) WHERE count >= 0.1 * top")(lambda r: db.expressed_alleles(r.where("library = 'O'").groupBy(F.col("v_call").alias("gene")).agg(F.count("*").alias("count"))))
 query("HAP2_heterozygous", ", u AS (SELECT split_part(j_call, '*', 1) AS g, j_call, count(*) AS n FROM r WHERE j_call <> '' GROUP BY 1, 2), e AS (SELECT * FROM (SELECT *, max(n) OVER (PARTITION BY g) AS top FROM u) WHERE n >= 0.1 * top) SELECT g AS gene, sum(n)::BIGINT AS total FROM e GROUP BY 1 HAVING count(*) = 2 ORDER BY total DESC, gene LIMIT 5")(lambda r: db.heterozygous(r.where("j_call <> ''").groupBy(F.col("j_call").alias("gene")).agg(F.count("*").alias("count"))))

@@ -28,6 +28,28 @@ def test_query_matches_sql(spark, name):
     assert sorted(map(tuple, df.collect())) == sorted(tuple(r[i] for i in order) for r in rel.fetchall())
 
 
+def test_whole_joins_against_brute_force(spark, tmp_path):
+    con = duckdb.connect()
+    con.sql(f"copy (select * from '{DATA}/lineitem.parquet' where l_orderkey % 29 < 2 limit 300) to '{tmp_path}/lineitem.parquet'")
+    run = lambda name: plans.QUERIES[name](spark, str(tmp_path)).collect()
+    rows = plans.rearrangements(spark, str(tmp_path)).collect()
+    needles, stacks = {r.cdr3 for r in rows} - {""}, {r.VDJ_nt for r in rows}
+    assert {len(n) for n in needles} == {9, 12, 15, 18}
+    assert sorted((r.needle, r.haystack) for r in run("JOI5_all_substrings")) == sorted((n, h) for n in needles for h in stacks if n in h)
+    near = {(c, c[:i] + b + c[i + 1 :]) for c in needles for i in range(len(c)) for b in "ACGT"}
+    assert sorted((r.cdr3, r.neighbour) for r in run("PRE6_neighbours")) == sorted(near)
+    asked = {(r.v_call, r.j_call, r.cdr3) for r in rows if r.library == "F" and r.V_errors == 0}
+    alike = lambda a, b: len(a) == len(b) and sum(x != y for x, y in zip(a, b)) <= 2
+    want = []
+    for q in asked:
+        hits = [r.sequence_id for r in rows if r.library == "O" and (r.v_call, r.j_call) == q[:2] and alike(q[2], r.cdr3)]
+        want += [(*q, m) for m in hits or [None]]
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in run("JOI2_clonoquery_all"))
+    con.sql(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet'")
+    got = sorted((r.name, r.distance, r.closest) for r in run("JOI10_all_closest"))
+    assert got == sorted(con.sql(plans.SQL["JOI10_all_closest"]).fetchall()) and len({g[0].split("*")[0] for g in got}) > 5
+
+
 def test_translation_and_complement(spark):
     row = spark.range(1).select(fn.nt_to_aa(F.lit("ATGTAAAC")).alias("aa"), fn.has_stop(F.lit("ATGTA")).alias("stop"), fn.reverse_complement(F.lit("ACGTRn")).alias("rc"), fn.nt_to_aa(F.lit("")).alias("none")).first()
     assert row.aa == "M**" and not row.stop and row.rc == "nYACGT" and row.none == ""
