@@ -14,7 +14,7 @@ from .common import cut, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 _word = re.compile(WORD)
-#: Words of a block, blocks of an output shard, chunks that a source's stream is summed in.
+#: Words of a block (fewer in a source of under BLOCK**2 words, so that it has BLOCK blocks at least), blocks of an output shard, chunks that a source's stream is summed in.
 BLOCK, SHARD, CHUNKS, SEED = 64, 4096, 1024, 20
 #: Columns that tell rows apart, see numbered.
 KEY = ["k1", "k2", "copy"]
@@ -85,24 +85,25 @@ class Mix:
         goal = targets([r[1] for r in totals], [1 + i % 3 for i in range(len(totals))])
         self.sources = []
         for i, (r, t) in enumerate(zip(totals, goal)):
-            blocks = -(-r[1] // BLOCK)
-            self.sources.append({"source": r[0], "no": i, "size": r[1], "target": t, "blocks": blocks, "quota": min(3 * blocks, round(t * blocks / r[1])) if r[1] else 0})
-        self.table = spark.createDataFrame([(s["source"], s["no"], s["size"], s["target"]) for s in self.sources], "source string, source_no int, source_size long, target double")
+            words = max(1, min(BLOCK, r[1] // BLOCK))
+            blocks = -(-r[1] // words)
+            self.sources.append({"source": r[0], "no": i, "size": r[1], "target": t, "block_words": words, "blocks": blocks, "quota": min(3 * blocks, round(t * blocks / r[1])) if r[1] else 0})
+        self.table = spark.createDataFrame([(s["source"], s["no"], s["size"], s["target"], s["block_words"]) for s in self.sources], "source string, source_no int, source_size long, target double, block_words int")
         at = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
         # broadcast: at most CHUNKS rows a source, and MOST_SOURCES sources; beyond 10 MB Spark joins by shuffle
         base = by_chunk.withColumn("base", F.coalesce(F.sum("n").over(at), F.lit(0))).drop("n")
         base = self._numbered(base)
         within = Window.partitionBy("source_no", "chunk").orderBy("doc_id", "k2", "copy").rowsBetween(Window.unboundedPreceding, -1)
-        placed = self._numbered(sizes).where("size > 0").join(base.drop("source"), ["source_no", "chunk"])
+        placed = self._numbered(sizes).where("size > 0").join(base.drop("source", "block_words"), ["source_no", "chunk"])
         placed = placed.withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
-        span = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.col("size") - 1) / BLOCK))))
-        first = F.greatest(F.col("block") * BLOCK, F.col("start"))
-        self.pieces = span.select("source_no", "block", "doc_id", *KEY, (first - F.col("start")).alias("first"), (F.least((F.col("block") + 1) * BLOCK, F.col("start") + F.col("size")) - first).alias("words"))
+        span = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("block_words")), F.floor((F.col("start") + F.col("size") - 1) / F.col("block_words")))))
+        first = F.greatest(F.col("block") * F.col("block_words"), F.col("start"))
+        self.pieces = span.select("source_no", "block", "doc_id", *KEY, (first - F.col("start")).alias("first"), (F.least((F.col("block") + 1) * F.col("block_words"), F.col("start") + F.col("size")) - first).alias("words"))
         self.slots = self._slots(spark, seed)
 
     def _numbered(self, df: DataFrame) -> DataFrame:
         """df with source_no. The table of sources is bounded by MOST_SOURCES."""
-        own = self.table.select(F.col("source").alias("source__"), "source_no")
+        own = self.table.select(F.col("source").alias("source__"), "source_no", "block_words")
         return df.join(F.broadcast(own), F.col("source").eqNullSafe(F.col("source__"))).drop("source__")
 
     def _slots(self, spark: SparkSession, seed: int) -> DataFrame:

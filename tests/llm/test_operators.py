@@ -261,6 +261,18 @@ def test_pipeline_groups_keep_texts_of_one_id(spark):
     assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, a), (1, b), (6, c), (None, a), (None, a), (8, None), (9, None)])
 
 
+def test_mixing_small_sources(spark):
+    common.ship(spark)
+    texts = [prose(k, n) for k, n in enumerate([40] * 12 + [1, 64, 65, 500])]
+    mix = mixing.Mix(docs(spark, texts, {k: f"s{k:02}" for k in range(len(texts))}))
+    taken = defaultdict(int)
+    for r in mixing._taken(mix).collect():
+        taken[r.doc_id] += r.times * r.words
+    assert [s["size"] for s in mix.sources[:12]] == [40] * 12
+    for k, s in enumerate(mix.sources):
+        assert taken[k] == pytest.approx(s["target"], abs=s["block_words"])
+
+
 def test_language(spark):
     common.ship(spark)
     got = {r.doc_id: r for r in langid.query(spark, D).collect()}
