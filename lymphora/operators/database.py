@@ -1,4 +1,4 @@
-"""Germline database operators: joins of sequence tables (JOI3-JOI17, SET1-SET3, SRT) and elimination (GER1-GER7)."""
+"""Germline database operators: joins of sequence tables (JOI3, JOI5, JOI6, JOI10, JOI13, JOI15, SRT1) and elimination (GER1, GER3-GER7, HAP1, HAP2)."""
 
 from __future__ import annotations
 

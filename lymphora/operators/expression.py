@@ -1,4 +1,4 @@
-"""Counts and other aggregates (AGG1-AGG19)."""
+"""Counts and other aggregates (AGG1, AGG4, AGG5, AGG7, AGG8, AGG13, AGG14, AGG17, AGG18, MRG4, JOI17)."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Filters (FIL1-FIL17). Each is a predicate on a DataFrame, so Catalyst pushes and merges them."""
+"""Filters (FIL1-FIL5, FIL9, FIL10, FIL12, FIL14, FIL17). Each is a predicate on a DataFrame, so Catalyst pushes and merges them."""
 
 from __future__ import annotations
 

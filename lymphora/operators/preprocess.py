@@ -1,4 +1,4 @@
-"""Read pre-processing (PRE1-PRE13)."""
+"""Read pre-processing (PRE1-PRE7, PRE10, PRE11, PRE13)."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Similarity joins and clonotypes (SIM4-SIM9, SIM13, JOI2)."""
+"""Similarity joins and clonotypes (SIM6, SIM8, JOI2, AGG6)."""
 
 from __future__ import annotations
 
