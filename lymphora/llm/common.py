@@ -34,7 +34,34 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{shared_dir(spark)}/lymphora-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()  # so that shuffle files that nothing refers to any more are removed
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes a table that cut wrote and that no later table is computed from."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of 64 bits of a key filter at most: 4 MB, as they are sent to all tasks.
+WORDS = 1 << 18
+
+
+def held_by(df: DataFrame, keys: DataFrame, on: list[str], keep: bool = True) -> DataFrame:
+    """Rows of df whose hash is one of keys'; with keep False, the others, which are surely not in keys.
+
+    So most of df need not be exchanged for a join with few keys. The filter has WORDS * 64 bits however many keys
+    there are: with more keys it lets more rows pass.
+    """
+    h = F.xxhash64(*on)
+    at, bit = F.pmod(h, F.lit(WORDS)), F.pmod(F.shiftrightunsigned(h, 32), F.lit(64)).cast("int")
+    bits = keys.select(at.alias("at__"), bit.alias("bit__")).distinct().groupBy("at__").agg(F.sum(F.expr("shiftleft(1L, bit__)")).alias("bits__"))
+    found = df.withColumns({"at__": at, "bit__": bit}).join(F.broadcast(bits), "at__", "left")
+    hit = F.coalesce(F.expr("shiftright(bits__, bit__) & 1L") == 1, F.lit(False))
+    return found.where(hit if keep else ~hit).drop("at__", "bit__", "bits__")
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -14,4 +14,4 @@ QUERIES = {
     "op9_quality_classifier": quality.query,
     "op10_language_id": langid.query,
 }
-ORACLES = {"op1_ngram_jaccard_join": jaccard.SQL, "op5_chat_formatting": chat.SQL, "op6_exact_top_k_search": search.SQL, "op7_embedding_near_dedup": embed.SQL}
+ORACLES = {"op1_ngram_jaccard_join": jaccard.SQL, "op4_suffix_array_dedup": suffixes.SQL, "op5_chat_formatting": chat.SQL, "op6_exact_top_k_search": search.SQL, "op7_embedding_near_dedup": embed.SQL}

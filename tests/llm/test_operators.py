@@ -93,26 +93,71 @@ def test_jaccard_against_brute_force(spark, monkeypatch, texts, few):
     assert got == brute_components(texts)
 
 
-def brute_removal(texts):
+def brute_removal(texts, length=400):
+    """Rows (n_bytes, n_removed, n_spans, digest, text) of the texts, in order."""
     raws = [(t or "").encode() for t in texts]
-    counts = Counter(b[i : i + 400] for b in raws for i in range(len(b) - 399))
-    out = {}
-    for k, b in enumerate(raws):
+    counts = Counter(b[i : i + length] for b in raws for i in range(len(b) - length + 1))
+    out = []
+    for b in raws:
         gone = np.zeros(len(b) + 2, bool)
-        for i in range(len(b) - 399):
-            if counts[b[i : i + 400]] > 1:
-                gone[1 + i : 1 + i + 400] = True
+        for i in range(len(b) - length + 1):
+            if counts[b[i : i + length]] > 1:
+                gone[1 + i : 1 + i + length] = True
         spans = int((gone[1:] & ~gone[:-1]).sum())
-        out[k] = (len(b), int(gone.sum()), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone[1:]) if not g)).hexdigest())
+        rest = bytes(x for x, g in zip(b, gone[1:]) if not g)
+        out.append((len(b), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
+    return out
+
+
+def passages(seed, n, shared):
+    """Texts around a few shared passages, at different places and partly cut."""
+    rng = random.Random(seed)
+    common_ = [prose(seed + k, 110) for k in range(shared)]
+    out = []
+    for k in range(n):
+        p = rng.choice(common_)
+        a, b = (0, len(p)) if rng.random() < 0.5 else sorted(rng.sample(range(len(p)), 2))
+        out.append(prose(seed + 100 + k, rng.randint(0, 90)) + p[a:b] + prose(seed + 500 + k, rng.randint(0, 90)))
     return out
 
 
-@pytest.mark.parametrize("texts", [ODD + [prose(1, 300), prose(2, 50) + prose(1, 300)[100:900] + prose(3, 50), prose(1, 300), "é" * 450 + prose(4, 90) + "é" * 450, prose(5, 60)[:400], "z" + prose(5, 60)[:400]], []])
-def test_removal_against_brute_force(spark, tmp_path, texts):
-    path = str(tmp_path)
-    docs(spark, texts).write.parquet(f"{path}/documents.parquet")
-    got = {r[0]: tuple(r[1:]) for r in suffixes.query(spark, path).collect()}
-    assert got == brute_removal(texts)
+REMOVALS = [
+    ODD + [prose(1, 300), prose(2, 50) + prose(1, 300)[100:900] + prose(3, 50), prose(1, 300), "é" * 450 + prose(4, 90) + "é" * 450, prose(5, 60)[:400], "z" + prose(5, 60)[:400]],
+    passages(7, 60, 2) + ["ab" * 700, "日本語" * 300 + prose(8, 20) + "本" + "日本語" * 200, prose(9, 30_000) + prose(7, 110)],
+    [],
+]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("texts", REMOVALS)
+def test_removal_against_brute_force(spark, tmp_path, monkeypatch, texts, hot):
+    if hot:  # every shared minimizer is split
+        monkeypatch.setattr(suffixes, "HOT", 1)
+    docs(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r[0]: tuple(r[1:]) for r in suffixes.query(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(brute_removal(texts)))
+
+
+def test_removal_of_null_and_repeated_rows(spark, tmp_path):
+    texts = [prose(1, 200), prose(1, 200), prose(2, 200), None, None, "", prose(3, 90) + prose(2, 200)[:500], prose(4, 100)]
+    ids = [1, 1, 1, 1, None, None, None, 2]
+    rows = [(i, t, "en", "s", None, 1, "x", 2) for i, t in zip(ids, texts)]
+    spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in suffixes.query(spark, str(tmp_path)).collect()]
+    assert Counter(got) == Counter((i, *r) for i, r in zip(ids, brute_removal(texts)))
+
+
+def test_passages_of_fifty_words_go(spark):
+    """Planted passages of 51 to 80 words, all under 400 bytes or around, among clean documents."""
+    rng = random.Random(3)
+    common.ship(spark)
+    planted = [" ".join("".join(rng.choice("aeinorst") for _ in range(rng.randint(2, 7))) for _ in range(n)) for n in (51, 55, 60, 80)]
+    assert min(len(p) for p in planted) < 300
+    texts = [f"{prose(50 + k, 80)} {planted[k % 4]} {prose(90 + k, 60)}" for k in range(12)] + [prose(200 + k, 300) for k in range(10)]
+    x = docs(spark, texts)
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_repeats(spark, x, "").collect()}
+    assert got == {i: r[4] for i, r in enumerate(brute_removal(texts, corpus_pipeline.PASSAGE))}
+    assert not any(p in t for p in planted for t in got.values()) and all(got[i] == texts[i] for i in range(12, 22))
 
 
 def test_loser_tree():
