@@ -383,17 +383,30 @@ def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs.
 
     A null or empty text, or one of white space, has no shingles and is alone. Copies are linked with each
-    other. Rows with the same doc_id are taken as one document's texts; an empty table gives no rows; other
-    columns are not read.
+    other. Rows with the same doc_id are one document's texts: each has its own n_shingles, and all have the least
+    component of them. A row without a doc_id is linked with nothing and has a null component. An empty
+    table gives no rows; other columns are not read.
     """
-    sizes, ids = suspects(docs)
-    members, classes, sets = classes_of(docs, ids)
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    sizes, ids = suspects(known)
+    members, classes, sets = classes_of(known, ids)
     first = cut(block_links(classes, sets), "links")
     roots = connected_components(first.selectExpr("a AS src", "b AS dst")).selectExpr("node AS class", "component")
     more = cut(completing_links(classes, sets, roots), "more")
-    roots = connected_components(first.unionByName(more).selectExpr("a AS src", "b AS dst")).selectExpr("node AS class", "component")
-    known = members.join(roots, "class", "left").select("doc_id", F.coalesce("component", "class").alias("root"))
-    return sizes.join(known, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
+    # a document with several texts links their classes
+    own = members.groupBy("doc_id").agg(F.min("class").alias("dst"))
+    texts = members.join(own, "doc_id").where("class <> dst").select(F.col("class").alias("src"), "dst")
+    roots = connected_components(first.unionByName(more).selectExpr("a AS src", "b AS dst").unionByName(texts)).selectExpr("node AS class", "component")
+    of = members.join(roots, "class", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "class")).alias("root"))
+    out = sizes.join(of, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
+
+    def counted(parts):
+        for pdf in parts:
+            yield pd.DataFrame({"n_shingles": [len(s) for s in shingle_sets(list(pdf["text"]))]})
+
+    missing = docs.where("doc_id IS NULL").select("text").mapInPandas(counted, "n_shingles long")
+    none = F.lit(None).cast("long")
+    return out.unionByName(missing.select(none.alias("doc_id"), "n_shingles", none.alias("component_id")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

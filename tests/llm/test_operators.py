@@ -217,21 +217,65 @@ def test_search_against_brute_force(spark, monkeypatch, block):
     assert [r.doc_id for r in search.top_k(spark.createDataFrame([(1, "b")], "query_id long, text string"), odd).orderBy("rank").collect()] == [7, 7, None]
 
 
-def test_embeddings_odd_vectors(spark):
-    rows = [(0, [1.0, 0.0], 1), (1, [2.0, 0.0], 1), (2, [1.0, 0.1], 1), (3, [1.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [float("nan"), 1.0], 1), (8, [1.0, 0.0], None), (9, [1.0, 0.0, 0.0], 1), (10, [], 1)]
+def brute_links(rows):
+    """Counter of (vec_id, n_links, component_id) by comparing all rows."""
+    def usable(r):
+        return r[0] is not None and r[1] and r[2] is not None and all(c is not None and math.isfinite(c) for c in r[1]) and any(r[1])
+
+    near = lambda x, y: len(x) == len(y) and np.dot(np.float64(x), np.float64(y)) / np.linalg.norm(np.float64(x)) / np.linalg.norm(np.float64(y)) >= 0.93
+    linked = [[k for k, s in enumerate(rows) if k != i and usable(r) and usable(s) and r[2] == s[2] and near(r[1], s[1])] for i, r in enumerate(rows)]
+    out = []
+    for i, r in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            more = [k for k in linked[todo.pop()] if k not in seen]
+            seen.update(more)
+            todo += more
+        out.append((r[0], len(linked[i]), min((rows[k][0] for k in seen if rows[k][0] is not None), default=None)))
+    return Counter(out)
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, unit binary, class string, first int"
+
+
+@pytest.mark.parametrize("chunk", [7, 2048])
+def test_embeddings_against_brute_force(spark, monkeypatch, chunk):
+    monkeypatch.setattr(embed, "CHUNK", chunk)
     common.ship(spark)
-    members, links = embed.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
-    assert {r.vec_id: r["class"] for r in members.collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 9: 9}
-    assert [tuple(r) for r in links.collect()] == [(0, 2)]
+    rows = [(0, [1.0, 0.0], 1), (1, [2.0, 0.0], 1), (2, [1.0, 0.1], 1), (3, [1.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [float("nan"), 1.0], 1), (8, [1.0, 0.0], None), (9, [1.0, 0.0, 0.0], 1), (10, [], 1), (None, [1.0, 0.0], 1)]
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((20, 6)).repeat(6, axis=0) + 0.2 * rng.standard_normal((120, 6))
+    rows += [(100 + k, [float(np.float32(c)) for c in v], int(k % 2) + 5) for k, v in enumerate(x)]
+    rows += [rows[0], rows[2], rows[20], (20, rows[30][1], 5), (None, None, None)]
+    got = embed.near_duplicates(spark.createDataFrame([(*r, b"x", "c", 1) for r in rows], VECTORS)).collect()
+    assert Counter(map(tuple, got)) == brute_links(rows)
+    assert embed.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
 def test_cover_tree_against_brute_force():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((60, 8)).repeat(5, axis=0) + 0.15 * rng.standard_normal((300, 8))
+    x = np.concatenate((x, x[:1] + 1e-3 * rng.standard_normal((100, 8))))  # all within the threshold
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    tree = embed.build(x, np.arange(300), 0, 2.0)
-    got = {(i, j) for a, b in embed.pairs_within(tree, tree, x, x) for i, j in zip(a.tolist(), b.tolist())}
-    assert got == set(zip(*(v.tolist() for v in np.nonzero(x @ x.T >= 0.93))))
+    copies = rng.integers(1, 4, len(x))
+    hits = x @ x.T >= 0.93
+    np.fill_diagonal(hits, False)
+    tree = embed.build(x, np.arange(len(x)), 0, 2.0)
+    found = embed.Links(tree, tree, x, x, copies, copies)
+    assert found.count.tolist() == (hits @ copies).tolist() and all(hits[i].any() and hits[j].any() for i, j in found.forest)
+    a, b = x[:150], x[150:]
+    ta, tb = embed.build(a, np.arange(150), 0, 2.0), embed.build(b, np.arange(len(b)), 0, 2.0)
+    found = embed.Links(ta, tb, a, b, copies[:150], copies[150:])
+    assert found.count.tolist() == np.concatenate((hits[:150, 150:] @ copies[150:], hits[150:, :150] @ copies[:150])).tolist()
+
+
+def test_jaccard_null_and_repeated_ids(spark):
+    common.ship(spark)
+    a, b, c = prose(1, 50), prose(2, 50), prose(3, 50)
+    rows = [(4, a), (4, a), (4, b), (2, a), (9, b), (None, a), (None, None), (7, c), (7, None), (7, c), (8, "")]
+    got = jaccard.components(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, root string")).collect()
+    size = lambda t: len(shingles(t))
+    assert Counter(map(tuple, got)) == Counter((i, size(t), {4: 2, 2: 2, 9: 2, 7: 7, 8: 8, None: None}[i]) for i, t in rows)
 
 
 def test_html():
