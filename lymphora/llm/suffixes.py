@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE, cut, drop, held_by, mix, powers, small_batches, table
+from .common import BYTE, cut, drop, held_by, lean, mix, powers, small_batches, table
 
 #: Bytes of a string that is removed if it starts elsewhere too (op4's contract); bytes of a gram.
 LENGTH, GRAM = 400, 32
@@ -32,6 +32,8 @@ LENGTH, GRAM = 400, 32
 MOST, FLUSH, BUCKET = 2048, 8 << 20, 4 << 20
 #: Texts that hold a minimizer beyond which its windows are split by what is around them; bytes of windows hashed at once.
 HOT, HASHED = 2000, 1 << 20
+#: Minimizers at most that are sent to all tasks: those that make up over a MOST_SENT-th of all.
+MOST_SENT = 4096
 #: Bytes of minimizer and split in front of a suffix.
 HEAD = 16
 
@@ -279,6 +281,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     twice, also in repeated rows, is covered as a whole if it is long enough. Ranges may overlap. Rows without
     any are left out. Texts without a minimizer that another text has are not exchanged.
     """
+    @lean
     def anchors(parts):
         for pdf in parts:
             rows = []
@@ -293,15 +296,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     base = keyed(docs).select("k1", "k2", "text")
     all_ = cut(base.mapInPandas(anchors, "k1 long, k2 long, grams array<long>"), "anchors")
-    # a window has two minimizers on average in each length - GRAM + 1 bytes
-    size = (all_.agg(F.sum(F.size("grams").cast("long"))).first()[0] or 0) * (length - GRAM + 2) // 2
-    buckets = max(16, -(-size // BUCKET))
+    total = all_.agg(F.sum(F.size("grams").cast("long"))).first()[0] or 0
+    # a text has two minimizers on average in each length - GRAM + 1 bytes
+    buckets = max(16, -(-total * (length - GRAM + 2) // 2 // BUCKET))
     held = all_.select("k1", "k2", F.explode("grams").alias("gram"))
-    often = held.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") > HOT).alias("hot"))
-    wanted = held.join(often, "gram").groupBy("k1", "k2").agg(F.collect_set("gram").alias("grams"), F.collect_set(F.when(F.col("hot"), F.col("gram"))).alias("hot"))
+    counts = cut(held.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    often = counts.withColumn("hot", F.col("n") > HOT)
+    # the most frequent, MOST_SENT at most by their counts, are sent to all tasks, as each would be one task's in a shuffle
+    top = F.col("n") > total // MOST_SENT
+    wide = held.join(F.broadcast(often.where(top).select("gram", F.col("hot").alias("top"))), "gram", "left")
+    rest = wide.where("top IS NULL").join(often.where(~top).select("gram", "hot"), "gram").select("k1", "k2", "gram", "hot")
+    wanted = wide.where("top IS NOT NULL").select("k1", "k2", "gram", F.col("top").alias("hot")).unionByName(rest)
+    wanted = wanted.groupBy("k1", "k2").agg(F.collect_set("gram").alias("grams"), F.collect_set(F.when(F.col("hot"), F.col("gram"))).alias("hot"))
     wanted = cut(wanted, "wanted")
     drop(all_)
+    drop(counts)
 
+    @lean
     def suffixes(parts):
         sets: dict[int, dict[bytes, list]] = {}
         held_bytes = 0
@@ -309,7 +320,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         def flush():
             rows = [(b, front_code([(s, i, min(t, 2)) for s, (i, t) in sorted(own.items())])) for b, own in sets.items()]
             sets.clear()
-            return pd.DataFrame({"bucket": [b for b, _ in rows], "run": [r for _, r in rows], "k1": 0, "k2": 0, "ids": None, "starts": None, "sizes": None})
+            return pd.DataFrame({"bucket": [b for b, _ in rows], "run": [r for _, r in rows], "k1": 0, "k2": 0, "ids": None, "starts": None, "sizes": None, "firsts": None, "ends": None})
 
         for pdf in parts:
             rows = []
@@ -338,32 +349,41 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 heads = np.stack([least, split], axis=1).astype(">u8").tobytes()
                 data = w.buf.tobytes()
                 of = w.doc[first]
+                again = np.zeros(len(first), bool)
                 for j, (a, z, i, b) in enumerate(zip(first.tolist(), end.tolist(), ids.tolist(), bucket.tolist())):
                     s = heads[HEAD * j : HEAD * j + HEAD] + data[a:z]
                     known = sets.setdefault(b, {}).setdefault(s, [i, 0])
-                    if not known[1]:
+                    if known[1]:
+                        again[j] = True
+                    else:
                         held_bytes += z - a + 200
                     known[1] += 1
                 cuts = np.searchsorted(of, np.arange(len(raw) + 1))
-                rows += [(k[0], k[1], ids[a:b], first[a:b] - w.offset[j], n[a:b].astype(np.int32)) for j, (k, a, b) in enumerate(zip(keys, cuts, cuts[1:])) if b > a]
+                # a suffix that this task has seen before is repeated for certain; the others are looked up
+                for j, (k, a, b) in enumerate(zip(keys, cuts, cuts[1:])):
+                    if b > a:
+                        sure, at = again[a:b], first[a:b] - w.offset[j]
+                        spans = united(at[sure].tolist(), (end[a:b][sure] - w.offset[j]).tolist())
+                        rows.append((k[0], k[1], ids[a:b][~sure], at[~sure], n[a:b][~sure].astype(np.int32), [x for x, _ in spans], [y for _, y in spans]))
                 if held_bytes > FLUSH:
                     yield flush()
                     held_bytes = 0
             if rows:
-                k1, k2, ids, starts, sizes = zip(*rows)
-                yield pd.DataFrame({"bucket": -1, "run": None, "k1": k1, "k2": k2, "ids": ids, "starts": starts, "sizes": sizes})
+                k1, k2, ids, starts, sizes, firsts, ends = zip(*rows)
+                yield pd.DataFrame({"bucket": -1, "run": None, "k1": k1, "k2": k2, "ids": ids, "starts": starts, "sizes": sizes, "firsts": firsts, "ends": ends})
         if sets:
             yield flush()
 
     both = held_by(base, wanted, ["k1", "k2"]).join(wanted.hint("shuffle_merge"), ["k1", "k2"])
-    sent = cut(both.mapInPandas(suffixes, "bucket int, run binary, k1 long, k2 long, ids array<long>, starts array<long>, sizes array<int>"), "suffixes")
+    sent = cut(both.mapInPandas(suffixes, "bucket int, run binary, k1 long, k2 long, ids array<long>, starts array<long>, sizes array<int>, firsts array<long>, ends array<long>"), "suffixes")
     drop(wanted)
     schema = "id long, n int, first array<int>, end array<int>"
     found = sent.where("bucket >= 0").select("bucket", "run").groupBy("bucket").applyInPandas(lambda pdf: repeated_windows(list(pdf["run"]), length), schema)
     places = sent.where("bucket < 0").select("k1", "k2", F.explode(F.arrays_zip(F.col("ids").alias("id"), F.col("starts").alias("start"), F.col("sizes").alias("n"))).alias("x")).select("k1", "k2", "x.*")
-    hits = places.join(found, ["id", "n"])
     shift = lambda c, by: F.transform(c, lambda v: v + F.col("start") + by)
-    spans = hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list(shift("first", F.lit(0)))).alias("firsts"), F.flatten(F.collect_list(shift("end", F.lit(length - 1)))).alias("ends"))
+    hits = places.join(found, ["id", "n"]).select("k1", "k2", shift("first", F.lit(0)).alias("firsts"), shift("end", F.lit(length - 1)).alias("ends"))
+    hits = hits.unionByName(sent.where("bucket < 0 AND size(firsts) > 0").select("k1", "k2", "firsts", "ends"))
+    spans = hits.groupBy("k1", "k2").agg(F.flatten(F.collect_list("firsts")).alias("firsts"), F.flatten(F.collect_list("ends")).alias("ends"))
     spans = cut(spans, "spans")
     drop(sent)
     return spans
@@ -402,6 +422,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     part goes as a whole there, but not in the digest)."""
     small_batches(spark)
 
+    @lean
     def run(parts):
         for pdf in parts:
             rows = []
