@@ -9,17 +9,17 @@ from itertools import chain
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import small_batches, table
+from .common import lean, small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words whose ids a worker remembers; it forgets them all when there are more. Words a query takes at once.
-REMEMBERED, AT_ONCE = 500_000, 50_000
+REMEMBERED, AT_ONCE = 300_000, 20_000
 
 #: Rows are (w word, p position, id, after: the next position's id, next: the next position, step); the last row's after
 #: and next are null. A step joins the pairs to the merge table and contracts each word's pair of least rank, the
 #: leftmost of equals (rank and position in one number): the pair's first row takes what follows its second, which
-#: goes, and the row before learns the new id. No step sorts. A word without such a pair adds no rows. The last
-#: aggregate, in order of position, decodes the word again.
+#: goes, and the row before learns the new id. No step sorts. A word without such a pair adds no rows. Ids are
+#: decoded by DECODE, an aggregate in order of position.
 CONTRACT = """
 WITH RECURSIVE t(w, p, id, after, next, step) AS (
   SELECT w, p, id, after, next, 0 FROM start
@@ -31,8 +31,9 @@ WITH RECURSIVE t(w, p, id, after, next, step) AS (
     JOIN t z ON z.w = best.w AND z.p = best.gone
   ) b ON y.w = b.w WHERE y.p <> b.gone
 ), last AS (SELECT w, max(step) AS step FROM t GROUP BY w)
-SELECT w, list(t.id ORDER BY p) AS ids, from_hex(string_agg(v.hex, '' ORDER BY p)) AS bytes FROM t JOIN last USING (w, step) JOIN vocabulary v USING (id) GROUP BY w
+SELECT w, list(t.id ORDER BY p) AS ids FROM t JOIN last USING (w, step) GROUP BY w
 """
+DECODE = "SELECT w, from_hex(string_agg(v.hex, '' ORDER BY p)) FROM coded JOIN vocabulary v USING (id) GROUP BY w"
 
 
 def load(path: str) -> list[tuple[bytes, int]]:
@@ -51,57 +52,70 @@ class Coder:
         self.split = regex.compile(pattern).findall
         self.ranks = dict(ranks)
         self.text = {i: str(i) for _, i in ranks}
-        self.piece = {i: b for b, i in ranks}
         merges = [(self.ranks[b[:k]], self.ranks[b[k:]], i) for b, i in ranks for k in range(1, len(b)) if b[:k] in self.ranks and b[k:] in self.ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})  # never spills to a worker's folder
         a, b, i = zip(*merges) if merges else ((), (), ())
         self.db.register("m_", pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "id": pa.array(i, pa.int64())}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m_")
         self.db.register("v_", pa.table({"id": pa.array([i for _, i in ranks], pa.int64()), "bytes": pa.array([b for b, _ in ranks], pa.binary())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT id, hex(bytes) AS hex FROM v_")
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[list[int], bytes]] = {}
 
-    def learn(self, words) -> None:
-        """Ids of words not known yet. A word that is a token as a whole is that token."""
+    def learn(self, words: list[str]) -> None:
+        """Ids of words not known yet, and what they decode to. A word that is a token as a whole is that token."""
+        raws = [w.encode("utf-8", "surrogatepass") for w in words]
+        ids: list[list[int]] = [[self.ranks[r]] if r in self.ranks else [] for r in raws]
+        new = [k for k, own in enumerate(ids) if not own]
+        for k in range(0, len(new), AT_ONCE):
+            some = new[k : k + AT_ONCE]
+            for w, own in self.contracted([raws[j] for j in some]):
+                ids[some[w]] = own
+        for w, own, raw in zip(words, ids, self.decode(ids)):
+            self.known[w] = own, raw
+
+    def contracted(self, raws: list[bytes]) -> list[tuple[int, list[int]]]:
         import numpy as np
         import pyarrow as pa
 
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new, own = [], []
-        for w in words:
-            raw = w.encode("utf-8", "surrogatepass")
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                self.known[w] = [whole]
-            else:
-                new.append(w)
-                own.append(raw)
         byte = np.array([self.ranks[bytes([k])] for k in range(256)], np.int64)
-        for k in range(0, len(new), AT_ONCE):
-            raws = own[k : k + AT_ONCE]
-            size = np.array([len(r) for r in raws])
-            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            ids = byte[np.frombuffer(b"".join(raws), np.uint8)]
-            end = place == np.repeat(size, size) - 1
-            self.db.register("start", pa.table({"w": np.repeat(np.arange(len(raws)), size), "p": place, "id": ids, "after": pa.array(np.roll(ids, -1), mask=end), "next": pa.array(place + 1, mask=end)}))
-            for w, ids, back in self.db.execute(CONTRACT).fetchall():
-                if back != raws[w]:
-                    raise ValueError("a word doesn't decode to itself")
-                self.known[new[k + w]] = ids
+        size = np.array([len(r) for r in raws])
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        ids = byte[np.frombuffer(b"".join(raws), np.uint8)]
+        end = place == np.repeat(size, size) - 1
+        self.db.register("start", pa.table({"w": np.repeat(np.arange(len(raws)), size), "p": place, "id": ids, "after": pa.array(np.roll(ids, -1), mask=end), "next": pa.array(place + 1, mask=end)}))
+        return self.db.execute(CONTRACT).fetchall()
+
+    def decode(self, coded: list[list[int]], rows: int = 1 << 17) -> list[bytes]:
+        """The bytes of each list of ids, by an ordered aggregation over about so many rows at once."""
+        import numpy as np
+        import pyarrow as pa
+
+        out = [b""] * len(coded)
+        a = 0
+        while a < len(coded):
+            b, n = a, 0
+            while b < len(coded) and n < rows:
+                n += len(coded[b])
+                b += 1
+            size = np.array([len(c) for c in coded[a:b]])
+            w = np.repeat(np.arange(a, b), size)
+            p = np.arange(n) - np.repeat(np.cumsum(size) - size, size)
+            self.db.register("coded", pa.table({"w": w, "p": p, "id": np.fromiter(chain.from_iterable(coded[a:b]), np.int64, n)}))
+            for k, raw in self.db.execute(DECODE).fetchall():
+                out[k] = raw
+            a = b
+        return out
 
     def encode(self, texts: list[str]):
-        """Ids of each text. Texts are split together, so that a query takes many words."""
+        """Ids of each text, and the bytes that its words' ids decode to. Texts are split together, so that a query takes many words."""
         split = [self.split(t) for t in texts]
         words = set(chain.from_iterable(split))
         if len(self.known) + len(words) > REMEMBERED:
             self.known.clear()
         self.learn([w for w in words if w not in self.known])
         for own in split:
-            yield list(chain.from_iterable(map(self.known.__getitem__, own)))
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.piece.__getitem__, ids))
+            both = [self.known[w] for w in own]
+            yield list(chain.from_iterable(x[0] for x in both)), b"".join(x[1] for x in both)
 
 
 _coders: dict = {}
@@ -132,10 +146,11 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids) of every row; a null or empty text has no ids. Repeated rows are encoded each; an
     empty table gives no rows; other columns are not read. path is a vocabulary file that executors can open."""
 
+    @lean
     def run(parts):
         c = coder(path)
         for pdf in parts:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [ids for some in runs(pdf["text"]) for ids in c.encode(some)]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [ids for some in runs(pdf["text"]) for ids, _ in c.encode(some)]})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>")
 
@@ -143,25 +158,28 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, bytes) of rows (doc_id, ids); null ids are none."""
 
+    @lean
     def run(parts):
         c = coder(path)
         for pdf in parts:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "bytes": [c.decode(list(i)) if i is not None else b"" for i in pdf["ids"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "bytes": c.decode([[] if i is None else list(i) for i in pdf["ids"]])})
 
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, bytes binary")
 
 
 def digest_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Encodes, decodes and digests in one go, so that ids don't pass through Spark: op8's columns."""
+    """Encodes, decodes and digests in one go, so that ids don't pass through Spark: op8's columns. The ids of each
+    distinct word are decoded by the ordered aggregation; a text's bytes are those of its words."""
 
+    @lean
     def run(parts):
         c = coder(path)
         for pdf in parts:
             rows = []
             for some in runs(pdf["text"]):
-                for ids in c.encode(some):
+                for ids, raw in c.encode(some):
                     shown = ",".join(map(c.text.__getitem__, ids))
-                    rows.append((len(ids), hashlib.sha256(shown.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
+                    rows.append((len(ids), hashlib.sha256(shown.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()))
             n, a, b = zip(*rows) if rows else ((), (), ())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, small_batches, table
+from .common import connected_components, cut, lean, small_batches, table
 
 COSINE = 0.93
 #: Vectors of a leaf, vectors of a chunk (a task compares two chunks of one label), slack for rounding.
@@ -143,6 +143,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     a task traverses the cover trees of two chunks, so that a label with most rows is many tasks. A task returns
     sums and a spanning forest, so what is exchanged grows with the classes and not with the links.
     """
+    @lean
     def unit(parts):
         for pdf in parts:
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "label": pdf["label"], "unit": normalised(pdf["embedding"])})

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import connected_components, cut, mix, shingle_sets, small_batches, table
+from .common import connected_components, cut, lean, mix, shingle_sets, small_batches, table
 
 #: Two sets link when UNION * their intersection >= LEAST * their union.
 LEAST, UNION = 75, 100
@@ -202,6 +202,7 @@ def suspects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sizes, ids): sizes (doc_id, n), and ids (doc_id) of the documents that step 1 can't rule out."""
     buckets = max(16, -(-docs.count() // SHARE))
 
+    @lean
     def send(parts):
         for pdf in parts:
             ids = pdf["doc_id"].to_numpy()
@@ -221,6 +222,7 @@ def suspects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     sent = cut(docs.select("doc_id", "text").mapInPandas(send, "bucket int, load binary"), "shingles")
 
+    @lean
     def facts(parts):
         for pdf in parts:
             for load in pdf["load"]:
@@ -236,6 +238,7 @@ def suspects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def classes_of(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, sets): members (doc_id, class), classes (class, n, keys), and sets (class, n, shingles)
     with the sorted hashes of classes, and of some that no class is named after."""
+    @lean
     def hashed(parts):
         salts = mix(np.arange(7, 7 + ROUNDS, dtype=np.uint64))
         for pdf in parts:
@@ -289,6 +292,7 @@ def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> D
     named = classes.select("class").join(roots, "class", "left").select("class", F.coalesce("component", "class").alias("root"))
     buckets = max(16, -(-named.count() // SHARE))
 
+    @lean
     def send(parts):
         for pdf in parts:
             all_sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
@@ -297,6 +301,7 @@ def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> D
             rows = [(-1, pack(*(w.astype("<i8") for w in who), pdf["n"].to_numpy().astype("<i4"), m.astype("<i4")))]
             yield pd.DataFrame(rows + dealt(who, all_sets, buckets), columns=["bucket", "load"])
 
+    @lean
     def facts(parts):
         for pdf in parts:
             for load in pdf["load"]:
@@ -309,6 +314,7 @@ def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> D
     left_over = about.join(shared, "class", "left").where(MAY).select("class", "root")
     own = cut(sets.join(left_over, "class").dropDuplicates(["class"]), "rooted")
 
+    @lean
     def spread(parts):
         for pdf in parts:
             yield pd.DataFrame({"class": pdf["class"], "root": pdf["root"], "n": pdf["n"], "tokens": [np.frombuffer(x, np.int64) for x in pdf["shingles"]]})
@@ -370,6 +376,7 @@ def completing_links(classes: DataFrame, sets: DataFrame, roots: DataFrame) -> D
     met = spread_out.join(signed, "class").groupBy("token", "i", "j").applyInPandas(meet, "a long, b long")
     likely = likely.unionByName(met).distinct()
 
+    @lean
     def verify(parts):
         for pdf in parts:
             ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(pdf["x"], pdf["y"])]
@@ -400,6 +407,7 @@ def components(docs: DataFrame) -> DataFrame:
     of = members.join(roots, "class", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "class")).alias("root"))
     out = sizes.join(of, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
 
+    @lean
     def counted(parts):
         for pdf in parts:
             yield pd.DataFrame({"n_shingles": [len(s) for s in shingle_sets(list(pdf["text"]))]})

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, small_batches, table
+from .common import lean, mix, small_batches, table
 
 #: Components of a vector, letters of an n-gram, characters that are counted at a time.
 DIM, GRAM, RUN = 256, 3, 1 << 20
@@ -89,6 +89,7 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     Rows without a language or letters add nothing. Only languages times DIM sums reach the driver.
     """
 
+    @lean
     def sums(parts):
         total: dict[str, np.ndarray] = {}
         for pdf in parts:
@@ -120,6 +121,7 @@ def predict(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFr
     Ties go to the first language by name. Each row is scored alone, so repeated rows agree.
     """
 
+    @lean
     def run(parts):
         for pdf in parts:
             lang, score = ["und"] * len(pdf), np.zeros(len(pdf))

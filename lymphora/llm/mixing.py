@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, table
+from .common import cut, lean, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 _word = re.compile(WORD)
@@ -18,6 +18,8 @@ _word = re.compile(WORD)
 BLOCK, SHARD, CHUNKS, SEED = 64, 4096, 1024, 20
 #: Columns that tell rows apart, see numbered.
 KEY = ["k1", "k2", "copy"]
+#: Shards that a task fills with slots.
+FILL = 16
 #: Sources are held on the driver and sent to the tasks; more of them than this is an error.
 MOST_SOURCES = 100_000
 
@@ -122,6 +124,7 @@ class Mix:
             m = min(SHARD, total - shard * SHARD)
             return np.random.default_rng([seed, shard]).multinomial(m, p)
 
+        @lean
         def counts(parts):
             for pdf in parts:
                 for shard in pdf["id"]:
@@ -142,6 +145,7 @@ class Mix:
         excess, lack = np.maximum(got - quota, 0), np.maximum(quota - got, 0)
         over_at, lack_to = np.concatenate(([0], np.cumsum(excess)))[:-1], np.cumsum(lack)
 
+        @lean
         def fill(parts_):
             for pdf in parts_:
                 for shard, s, n, k in zip(pdf["shard"], pdf["source_no"], pdf["n"], pdf["k"]):
@@ -158,7 +162,8 @@ class Mix:
                         block[own] = permuted(number[own] % blocks[one], int(blocks[one]), seed * 1_000_003 + int(one))
                     yield pd.DataFrame({"shard": shard, "slot": np.arange(n, dtype=np.int32), "source_no": source.astype(np.int32), "block": block})
 
-        return drawn.mapInPandas(fill, "shard long, slot int, source_no int, block long")
+        # few rows become many, so they are dealt by number and not by size
+        return drawn.repartition(-(-shards // FILL), "shard").mapInPandas(fill, "shard long, slot int, source_no int, block long")
 
 
 def mix_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -187,7 +192,8 @@ def words_of(text: str, runs: list[tuple[int, int]]) -> str:
 
 def _taken(mix: Mix) -> DataFrame:
     used = mix.slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
-    return mix.pieces.join(used, ["source_no", "block"]).select("doc_id", *KEY, "times", "first", "words")
+    # both sides grow with the documents, so neither is ever broadcast
+    return mix.pieces.join(used.hint("merge"), ["source_no", "block"]).select("doc_id", *KEY, "times", "first", "words")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,5 +201,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = Mix(table(spark, sf_dir, "documents"))
     taken = _taken(mix).groupBy(*KEY).agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
     own = F.broadcast(mix.table.select(F.col("source").alias("source__"), "source_size", "target"))
-    rows = mix.sizes.join(own, F.col("source").eqNullSafe(F.col("source__"))).join(taken, KEY, "left")
+    rows = mix.sizes.join(own, F.col("source").eqNullSafe(F.col("source__"))).join(taken.hint("merge"), KEY, "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE, SPACE, chunks, mix, powers, small_batches, table
+from .common import BYTE, SPACE, chunks, lean, mix, powers, small_batches, table
 
 #: Labelled rows that are fitted on at most (those with the least hash of doc_id, as many of each label),
 #: hashed features, latent dimensions, neighbours that vote.
@@ -109,6 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # broadcast: at most sample rows of two numbers
     rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
 
+    @lean
     def run(parts_):
         for pdf in parts_:
             x = features(list(pdf["text"]))
@@ -128,6 +129,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # SAMPLE * DIM and HASHED * DIM numbers: under 2 MB
 
+    @lean
     def run(parts):
         for pdf in parts:
             s = np.round(np.clip(sent.value.score(features(list(pdf["text"]))), 0, 1), 6)

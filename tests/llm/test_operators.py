@@ -180,7 +180,10 @@ def test_bpe_is_tiktoken(spark, tmp_path):
     texts = ODD + ["it's  <|endoftext|>\n\n 12345", "aaaaaaaaaaaaaa!!!!"]
     docs(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r for r in bpe.query(spark, str(tmp_path)).collect()}
-    ids = {r.doc_id: r.ids for r in bpe.encode_documents(docs(spark, texts)).collect()}
+    coded = bpe.encode_documents(docs(spark, texts))
+    ids = {r.doc_id: r.ids for r in coded.collect()}
+    back = {r.doc_id: bytes(r.bytes) for r in bpe.decode_documents(coded).collect()}
+    assert back == {i: (t or "").encode() for i, t in enumerate(texts)}
     for i, t in enumerate(texts):
         want = enc.encode_ordinary(t or "")
         assert ids[i] == want and got[i].n_tokens == len(want)
