@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lymphora.llm import bpe, jaccard, mixing, quality, suffixes
-from lymphora.llm.common import cut, small_batches, table
+from lymphora.llm.common import cut, lean, small_batches, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Bytes of a passage that goes if it starts elsewhere too. Fifty words of prose are 250 bytes and more.
+PASSAGE = 200
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -26,6 +28,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     sent = spark.sparkContext.broadcast(model)  # under 2 MB, see quality.score
 
+    @lean
     def run(parts):
         for pdf in parts:
             yield pdf[sent.value.score(quality.features(list(pdf["text"]))).round(6) >= quality.REJECT]
@@ -54,10 +57,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of 400-byte strings that start elsewhere too. A character that a cut
+    """Every document without the bytes of strings of PASSAGE bytes that start elsewhere too. A character that a cut
     leaves in part goes as a whole; a document of which nothing is left stays, with an empty text."""
     docs = documents(docs)
 
+    @lean
     def run(parts):
         for pdf in parts:
             text = []
@@ -69,7 +73,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
                     text.append(suffixes.kept(raw, suffixes.united(a.tolist(), b.tolist())).decode("utf-8", "ignore"))
             yield pdf.assign(text=text, n_chars=[None if t is None else len(t) for t in text])[COLUMNS]
 
-    return suffixes.removals(docs, "lang", "source", "n_chars").mapInPandas(run, SCHEMA)
+    some, rest = suffixes.removals(docs, "lang", "source", "n_chars", length=PASSAGE)
+    return some.select(*COLUMNS, "firsts", "ends").mapInPandas(run, SCHEMA).unionByName(rest.select(COLUMNS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,12 +85,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rounds = taken.select(*mixing.KEY, "first", "words", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("round"))
     rounds = rounds.groupBy(*mixing.KEY, "round").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("runs"))
 
+    @lean
     def run(parts):
         for pdf in parts:
             text = [mixing.words_of(t, [(r["first"], r["words"]) for r in runs]) for t, runs in zip(pdf["text"], pdf["runs"])]
             yield pdf.assign(text=text, n_chars=[len(t) for t in text])[COLUMNS]
 
-    return mixing.numbered(docs).join(rounds, mixing.KEY).select(*COLUMNS, "runs").mapInPandas(run, SCHEMA)
+    return mixing.numbered(docs).join(rounds.hint("merge"), mixing.KEY).select(*COLUMNS, "runs").mapInPandas(run, SCHEMA)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
