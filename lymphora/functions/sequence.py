@@ -1,4 +1,4 @@
-"""Sequence functions as Column expressions (FN1-FN3, FN10-FN13, SIM1-SIM3, AUG4, MRG6)."""
+"""Sequence functions as Column expressions (FN1-FN3, FN10, FN11, FN13, SIM1-SIM3, AUG4, MRG6), and the parser of slices (FN12)."""
 
 from __future__ import annotations
 
@@ -82,3 +82,11 @@ def sequence_hash(c: Column) -> Column:
 def unique_name(name: Column, sequence: Column) -> Column:
     """name with the sequence's hash, in place of an older one."""
     return F.concat(F.regexp_replace(name, "_S[^_]*$", ""), F.lit("_"), sequence_hash(sequence))
+
+
+def slice_of(text: str) -> tuple[int | None, int | None]:
+    """FN12: start and end of "2:-3"; either may be left out."""
+    start, colon, end = text.partition(":")
+    if not colon:
+        raise ValueError(f"{text} is no slice")
+    return (int(start) if start else None, int(end) if end else None)

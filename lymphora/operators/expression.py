@@ -51,14 +51,17 @@ def allele_matrix(df: DataFrame, row: str, column: str, values: list[str]) -> Da
     return df.groupBy(row).pivot(column, values).count().na.fill(0)
 
 
-def prefix_equivalence(df: DataFrame, c: str, unit: int = 1) -> DataFrame:
+def prefix_equivalence(df: DataFrame, c: str, unit: int | None = None) -> DataFrame:
     """AGG13: distinct rows of c in order; a run goes on while a value begins with the one before; size of each value's run.
 
-    Values with a common prefix share their first unit characters, so these deal out the work.
+    Values with a common prefix share their first unit characters, as many as the shortest has, so these deal out the work.
+    Empty values are left out.
     """
+    df = df.where(F.length(c) > 0)
+    unit = unit or min(16, df.agg(F.min(F.length(c))).first()[0] or 1)
     w = Window.partitionBy(F.substring(c, 1, unit)).orderBy(c)
     fresh = ~F.coalesce(F.startswith(F.col(c), F.lag(c).over(w)), F.lit(False))
-    runs = df.where(F.length(c) >= unit).withColumn("fresh_", fresh.cast("int")).withColumn("run_", F.sum("fresh_").over(w))
+    runs = df.withColumn("fresh_", fresh.cast("int")).withColumn("run_", F.sum("fresh_").over(w))
     return runs.withColumn("run_size", F.count("*").over(Window.partitionBy(F.substring(c, 1, unit), "run_"))).drop("fresh_", "run_")
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..functions.sequence import hamming
+from ..functions.sequence import hamming, similar_cdr3
+from .clustering import near_pairs, rooted
 
 
 def within_one(df: DataFrame, keys: list[str], c: str) -> DataFrame:
@@ -21,20 +21,21 @@ def within_one(df: DataFrame, keys: list[str], c: str) -> DataFrame:
     return masked.withColumnRenamed(c, "a").join(other, [*keys, "at", "rest"]).where("a < b").select(*keys, "a", "b")
 
 
-def clonotypes(df: DataFrame, keys: tuple[str, ...] = ("v_call", "j_call"), c: str = "cdr3", rounds: int = 60) -> DataFrame:
-    """SIM8: distinct (keys, c) with root, the least value of its single-linkage cluster (one mismatch, equal lengths)."""
+def clonotypes(df: DataFrame, keys: tuple[str, ...] = ("v_call", "j_call"), c: str = "cdr3", mismatches: float = 1, core_start: int = 0, core_end: int = 0) -> DataFrame:
+    """SIM6, SIM8: distinct (keys, c) with root, the least value of its single-linkage cluster: equal lengths, mismatches at most (a
+    share of the length behind the core's start if under 1), and with a core, equal ends before or behind it (SIM3). c may
+    be amino acids."""
     own = df.where(F.length(c) > 0).select(*keys, c).distinct()
-    links = within_one(own, list(keys), c)
-    both = links.unionByName(links.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
-    roots = own.withColumn("root", F.col(c))
-    for _ in range(rounds):
-        near = both.join(roots.select(*keys, F.col(c).alias("b"), F.col("root").alias("r")), [*keys, "b"]).groupBy(*keys, "a").agg(F.min("r").alias("r"))
-        new = roots.join(near.withColumnRenamed("a", c), [*keys, c], "left").select(*keys, c, F.least("root", "r").alias("new"), "root").checkpoint()
-        moved = new.where("new < root").limit(1).count()
-        roots = new.select(*keys, c, F.col("new").alias("root"))
-        if not moved:
-            return roots
-    raise RuntimeError("clusters did not settle")
+    pairs = within_one(own, list(keys), c) if mismatches == 1 else near_pairs(own, list(keys), c, mismatches, core_start)
+    if core_start or core_end:
+        pairs = pairs.where(similar_cdr3(F.col("a"), F.col("b"), mismatches, core_start, core_end))
+    return rooted(own, list(keys), c, pairs)
+
+
+def numbered_clonotypes(rows: DataFrame, keys: tuple[str, ...] = ("v_call", "j_call"), c: str = "cdr3", **limits) -> DataFrame:
+    """SNK4: rows with clonotype_id, a digest of keys and root."""
+    roots = clonotypes(rows, keys, c, **limits)
+    return rows.join(roots, [*keys, c]).withColumn("clonotype_id", F.md5(F.concat_ws("|", *keys, "root"))).drop("root")
 
 
 def clonoquery(query: DataFrame, reference: DataFrame, mismatches: int) -> DataFrame:
@@ -45,8 +46,11 @@ def clonoquery(query: DataFrame, reference: DataFrame, mismatches: int) -> DataF
 
 
 def representative(df: DataFrame, keys: list[str], order: str, sequence: str = "VDJ_nt", count: str = "copies") -> DataFrame:
-    """AGG6: of one or two rows the first; of more, the first with the sequence of the largest sum of counts. count becomes the group's sum."""
-    w = Window.partitionBy(*keys)
-    x = df.withColumns({"n_": F.count("*").over(w), "sum_": F.sum(count).over(w), "own_": F.sum(count).over(Window.partitionBy(*keys, sequence))})
-    best = Window.partitionBy(*keys).orderBy(F.when(F.col("n_") > 2, -F.col("own_")).otherwise(0), order)
-    return x.withColumn("k_", F.row_number().over(best)).where("k_ = 1").withColumn(count, F.col("sum_")).drop("n_", "sum_", "own_", "k_")
+    """AGG6: of one or two rows the first; of more, the first with the sequence of the largest sum of counts. count becomes the
+    group's sum. Two aggregations with partial sums; of each sequence only its first row is exchanged again."""
+    first = F.min(F.struct(F.col(order).alias("o_"), F.struct(*[c for c in df.columns if c not in keys]).alias("r_"))).alias("first_")
+    by = df.groupBy(*keys, F.col(sequence).alias("s_")).agg(F.count("*").alias("n_"), F.sum(count).alias("own_"), first)
+    top = F.min(F.struct((-F.col("own_")).alias("a"), "first_"))["first_"]
+    out = by.groupBy(*keys).agg(F.sum("n_").alias("n_"), F.sum("own_").alias("sum_"), F.min("first_").alias("any_"), top.alias("top_"))
+    row = F.when(F.col("n_") > 2, F.col("top_")).otherwise(F.col("any_"))["r_"]
+    return out.select(*keys, row.alias("r"), "sum_").select(*keys, "r.*", "sum_").withColumn(count, F.col("sum_")).drop("sum_").select(df.columns)

@@ -1,4 +1,4 @@
-"""FASTA and FASTQ as DataFrames (SRC1, SRC10, SRC13, SRC14, SNK2)."""
+"""FASTA and FASTQ as DataFrames (SRC1, SRC13, SRC14, SNK2)."""
 
 from __future__ import annotations
 
@@ -17,11 +17,20 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """FASTQ of four lines a record; a record begins at "\\n@" after a quality line as long as its sequence."""
-    raw = spark.read.option("wholetext", True).text(path)
-    lines = raw.select(F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("i", "line"))
-    rec = lines.groupBy(F.floor(F.col("i") / 4).alias("_row")).agg(*(F.max(F.when(F.col("i") % 4 == k, F.col("line"))).alias(n) for k, n in ((0, "head"), (1, "sequence"), (3, "qualities"))))
-    return rec.where(F.startswith("head", F.lit("@"))).select("_row", F.substring_index(F.substring("head", 2, 1 << 20), " ", 1).alias("name"), F.regexp_extract("head", "^[^ ]* (.*)$", 1).alias("comment"), "sequence", "qualities")
+    """FASTQ of four lines a record: (_row, name, comment, sequence, qualities).
+
+    Lines are numbered within a file from the line counts of its splits, so a large plain file is read in parallel, and
+    records are cut by number: a quality line may begin with @ too.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start")).alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", "\r$", "").alias("line"))
+    # number of lines before each split, from a count of each: a row for each split of a file
+    counts = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    numbered = lines.join(before.drop("n"), ["file", "block"]).withColumn("i", F.col("before") + F.col("at") - F.col("first"))
+    rec = numbered.groupBy("file", F.floor(F.col("i") / 4).alias("k")).agg(*(F.max(F.when(F.col("i") % 4 == k, F.col("line"))).alias(n) for k, n in ((0, "head"), (1, "sequence"), (2, "plus"), (3, "qualities"))))
+    good = rec.where("head <> ''").withColumn("head", F.when(F.startswith("head", F.lit("@")) & F.startswith("plus", F.lit("+")), F.col("head")).otherwise(F.raise_error(F.lit("not a FASTQ record of four lines")).cast("string")))
+    name = F.substring("head", 2, 1 << 20)
+    return good.select(F.concat_ws(":", "file", F.lpad(F.col("k").cast("string"), 12, "0")).alias("_row"), F.substring_index(name, " ", 1).alias("name"), F.regexp_extract(name, "^[^ ]* (.*)$", 1).alias("comment"), "sequence", "qualities")
 
 
 def problems(records: DataFrame) -> DataFrame:
