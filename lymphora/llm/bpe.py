@@ -14,11 +14,15 @@ from .common import lean, small_batches, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words whose ids a worker remembers; it forgets them all when there are more. Words a query takes at once.
 REMEMBERED, AT_ONCE = 300_000, 20_000
+#: Rows that a query's steps may add up to: a recursion keeps the rows of all its steps, so a query ends after as many
+#: steps as fit, and words that aren't done go on in the next from where they are.
+ROWS = 2_500_000
 
 #: Rows are (w word, p position, id, after: the next position's id, next: the next position, step); the last row's after
 #: and next are null. A step joins the pairs to the merge table and contracts each word's pair of least rank, the
 #: leftmost of equals (rank and position in one number): the pair's first row takes what follows its second, which
-#: goes, and the row before learns the new id. No step sorts. A word without such a pair adds no rows. Ids are
+#: goes, and the row before learns the new id. No step sorts. A word without such a pair adds no rows, and after the steps
+#: that a query has (the parameter) it ends. Ids are
 #: decoded by DECODE, an aggregate in order of position.
 CONTRACT = """
 WITH RECURSIVE t(w, p, id, after, next, step) AS (
@@ -29,9 +33,9 @@ WITH RECURSIVE t(w, p, id, after, next, step) AS (
     SELECT best.w, best.best & 1073741823 AS p, best.best >> 30 AS id, best.gone, z.after, z.next
     FROM (SELECT x.w, min((m.id << 30) | x.p) AS best, arg_min(x.next, (m.id << 30) | x.p) AS gone FROM t x JOIN merges m ON m.a = x.id AND m.b = x.after GROUP BY x.w) best
     JOIN t z ON z.w = best.w AND z.p = best.gone
-  ) b ON y.w = b.w WHERE y.p <> b.gone
+  ) b ON y.w = b.w WHERE y.p <> b.gone AND y.step < $steps
 ), last AS (SELECT w, max(step) AS step FROM t GROUP BY w)
-SELECT w, list(t.id ORDER BY p) AS ids FROM t JOIN last USING (w, step) GROUP BY w
+SELECT w, list(t.id ORDER BY p) AS ids, any_value(step) = $steps AS open FROM t JOIN last USING (w, step) GROUP BY w
 """
 DECODE = "SELECT w, from_hex(string_agg(v.hex, '' ORDER BY p)) FROM coded JOIN vocabulary v USING (id) GROUP BY w"
 
@@ -65,25 +69,34 @@ class Coder:
         """Ids of words not known yet, and what they decode to. A word that is a token as a whole is that token."""
         raws = [w.encode("utf-8", "surrogatepass") for w in words]
         ids: list[list[int]] = [[self.ranks[r]] if r in self.ranks else [] for r in raws]
-        new = [k for k, own in enumerate(ids) if not own]
-        for k in range(0, len(new), AT_ONCE):
-            some = new[k : k + AT_ONCE]
-            for w, own in self.contracted([raws[j] for j in some]):
-                ids[some[w]] = own
+        byte = [self.ranks[bytes([k])] for k in range(256)]
+        some, size = [], 0
+        for k in [k for k, own in enumerate(ids) if not own]:
+            some.append(k)
+            size += len(raws[k])
+            if len(some) >= AT_ONCE or size >= ROWS // 8:
+                self.contract(ids, {k: [byte[c] for c in raws[k]] for k in some})
+                some, size = [], 0
+        self.contract(ids, {k: [byte[c] for c in raws[k]] for k in some})
         for w, own, raw in zip(words, ids, self.decode(ids)):
             self.known[w] = own, raw
 
-    def contracted(self, raws: list[bytes]) -> list[tuple[int, list[int]]]:
+    def contract(self, ids: list[list[int]], todo: dict[int, list[int]]) -> None:
+        """Puts the ids of todo's words (number, ids of their bytes) into ids."""
         import numpy as np
         import pyarrow as pa
 
-        byte = np.array([self.ranks[bytes([k])] for k in range(256)], np.int64)
-        size = np.array([len(r) for r in raws])
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        ids = byte[np.frombuffer(b"".join(raws), np.uint8)]
-        end = place == np.repeat(size, size) - 1
-        self.db.register("start", pa.table({"w": np.repeat(np.arange(len(raws)), size), "p": place, "id": ids, "after": pa.array(np.roll(ids, -1), mask=end), "next": pa.array(place + 1, mask=end)}))
-        return self.db.execute(CONTRACT).fetchall()
+        while todo:
+            size = np.fromiter(map(len, todo.values()), np.int64, len(todo))
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            own = np.fromiter(chain.from_iterable(todo.values()), np.int64, size.sum())
+            end = place == np.repeat(size, size) - 1
+            self.db.register("start", pa.table({"w": np.repeat(np.fromiter(todo, np.int64, len(todo)), size), "p": place, "id": own, "after": pa.array(np.roll(own, -1), mask=end), "next": pa.array(place + 1, mask=end)}))
+            todo = {}
+            for w, found, open_ in self.db.execute(CONTRACT, {"steps": max(2, min(256, ROWS // len(own)))}).fetchall():
+                ids[w] = found
+                if open_ and len(found) > 1:
+                    todo[w] = found
 
     def decode(self, coded: list[list[int]], rows: int = 1 << 17) -> list[bytes]:
         """The bytes of each list of ids, by an ordered aggregation over about so many rows at once."""
