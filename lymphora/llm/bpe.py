@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import lean, small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Words whose ids a worker remembers; it forgets them all when there are more. Words a query takes at once.
-REMEMBERED, AT_ONCE = 300_000, 20_000
+#: Words that a worker remembers until a new generation begins; of the one before, those that occur again are kept.
+#: Words a query takes at once.
+REMEMBERED, AT_ONCE = 250_000, 50_000
 #: Rows that a query's steps may add up to: a recursion keeps the rows of all its steps, so a query ends after as many
 #: steps as fit, and words that aren't done go on in the next from where they are.
-ROWS = 2_500_000
+ROWS = 4_000_000
 
 #: Rows are (w word, p position, id, after: the next position's id, next: the next position, step); the last row's after
 #: and next are null. A step joins the pairs to the merge table and contracts each word's pair of least rank, the
@@ -55,15 +56,16 @@ class Coder:
 
         self.split = regex.compile(pattern).findall
         self.ranks = dict(ranks)
-        self.text = {i: str(i) for _, i in ranks}
         merges = [(self.ranks[b[:k]], self.ranks[b[k:]], i) for b, i in ranks for k in range(1, len(b)) if b[:k] in self.ranks and b[k:] in self.ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})  # never spills to a worker's folder
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})  # never spills to a worker's folder
         a, b, i = zip(*merges) if merges else ((), (), ())
         self.db.register("m_", pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "id": pa.array(i, pa.int64())}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m_")
         self.db.register("v_", pa.table({"id": pa.array([i for _, i in ranks], pa.int64()), "bytes": pa.array([b for b, _ in ranks], pa.binary())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT id, hex(bytes) AS hex FROM v_")
-        self.known: dict[str, tuple[list[int], bytes]] = {}
+        # of each word: its ids as text, what they decode to, and their number
+        self.known: dict[str, tuple[str, bytes, int]] = {}
+        self.before: dict[str, tuple[str, bytes, int]] = {}
 
     def learn(self, words: list[str]) -> None:
         """Ids of words not known yet, and what they decode to. A word that is a token as a whole is that token."""
@@ -79,7 +81,7 @@ class Coder:
                 some, size = [], 0
         self.contract(ids, {k: [byte[c] for c in raws[k]] for k in some})
         for w, own, raw in zip(words, ids, self.decode(ids)):
-            self.known[w] = own, raw
+            self.known[w] = ",".join(map(str, own)), raw, len(own)
 
     def contract(self, ids: list[list[int]], todo: dict[int, list[int]]) -> None:
         """Puts the ids of todo's words (number, ids of their bytes) into ids."""
@@ -119,16 +121,22 @@ class Coder:
             a = b
         return out
 
-    def encode(self, texts: list[str]):
-        """Ids of each text, and the bytes that its words' ids decode to. Texts are split together, so that a query takes many words."""
+    def coded(self, texts: list[str]):
+        """For each text its words' entries, in order. Texts are split together, so that a query takes many words."""
         split = [self.split(t) for t in texts]
-        words = set(chain.from_iterable(split))
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        self.learn([w for w in words if w not in self.known])
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        missing = set(chain.from_iterable(split)).difference(self.known)
+        again = missing.intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
+        self.learn(list(missing - again))
         for own in split:
-            both = [self.known[w] for w in own]
-            yield list(chain.from_iterable(x[0] for x in both)), b"".join(x[1] for x in both)
+            yield list(map(self.known.__getitem__, own))
+
+    def encode(self, texts: list[str]):
+        """Ids of each text, and the bytes that its words' ids decode to."""
+        for words in self.coded(texts):
+            yield [int(i) for shown, _, _ in words for i in shown.split(",")], b"".join(raw for _, raw, _ in words)
 
 
 _coders: dict = {}
@@ -190,9 +198,9 @@ def digest_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
         for pdf in parts:
             rows = []
             for some in runs(pdf["text"]):
-                for ids, raw in c.encode(some):
-                    shown = ",".join(map(c.text.__getitem__, ids))
-                    rows.append((len(ids), hashlib.sha256(shown.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()))
+                for words in c.coded(some):
+                    shown, raw, n = zip(*words) if words else ((), (), ())
+                    rows.append((sum(n), hashlib.sha256(",".join(shown).encode()).hexdigest(), hashlib.sha256(b"".join(raw)).hexdigest()))
             n, a, b = zip(*rows) if rows else ((), (), ())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
 
