@@ -69,12 +69,9 @@ def regions(v: DataFrame) -> DataFrame:
     return v.select("gene", "sequence", *(F.when(ok, nt).alias(f"{r}_nt") for r, nt in cut.items()), *(F.when(ok, nt_to_aa(nt)).alias(f"{r}_aa") for r, nt in cut.items()))
 
 
-def by_locus(c: Column, locus: Column, f) -> Column:
-    """f(c, locus) for each known locus."""
-    out = F.lit(None).cast("int")
-    for name in LOCI:
-        out = F.when(locus == name, f(c, name)).otherwise(out)
-    return out
+def bounds(c: Column, f) -> Column:
+    """f(c, locus) for all known loci, as a map: a gene's motif is sought once, not for each read."""
+    return F.create_map(*(x for name in LOCI for x in (F.lit(name), f(c, name))))
 
 
 def region_mutation(nt: bool = True) -> dict[str, Column]:
@@ -106,22 +103,23 @@ def augmented(rows: DataFrame, v: DataFrame, d: DataFrame, j: DataFrame) -> Data
     """
     rows = rows.withColumns({c: clean_call(F.col(c)) for c in ("v_call", "d_call", "j_call")})
     v = regions(v).withColumnsRenamed({"gene": "v_call", "sequence": "v_gene_sequence"} | {f"{r}_{k}": f"v_{r}_{k}" for r in REGIONS for k in ("nt", "aa")})
+    v = v.withColumn("v_bounds_", bounds(F.col("v_gene_sequence"), cdr3_start))
     rows = rows.join(small(v), "v_call", "left")
     rows = rows.join(small(d.select(F.col("gene").alias("d_call"), F.length("sequence").alias("d_length"))), "d_call", "left")
-    rows = rows.join(small(j.select(F.col("gene").alias("j_call"), F.col("sequence").alias("j_gene_sequence"))), "j_call", "left")
+    rows = rows.join(small(j.select(F.col("gene").alias("j_call"), F.col("sequence").alias("j_gene_sequence"), bounds(F.col("sequence"), cdr3_end).alias("j_bounds_"))), "j_call", "left")
     rows = rows.withColumns({"V_SHM": 100.0 - F.col("v_identity"), "J_SHM": 100.0 - F.col("j_identity")} | header_fields(F.col("sequence_id")))
     rows = rows.withColumns({f"{g.upper()}_errors": errors(F.col(f"{g}_germline_alignment"), F.col(f"{g}_sequence_alignment")) for g in "vdj"})
     lengths = {"v": F.length("v_gene_sequence"), "d": F.col("d_length"), "j": F.length("j_gene_sequence")}
     rows = rows.withColumns({f"{g.upper()}_covered": covered(F.col(f"{g}_germline_alignment"), n) for g, n in lengths.items()})
     rows = rows.withColumns(region_mutation() | region_mutation(False))
     rows = with_cdr3(rows)
-    return with_fwr4(rows).drop("v_gene_sequence", "j_gene_sequence", "d_length", "v_bound_", "j_bound_", *(f"v_{r}_{k}" for r in REGIONS for k in ("nt", "aa")))
+    return with_fwr4(rows).drop("v_gene_sequence", "j_gene_sequence", "d_length", "v_bound_", "j_bound_", "v_bounds_", "j_bounds_", *(f"v_{r}_{k}" for r in REGIONS for k in ("nt", "aa")))
 
 
 def with_cdr3(rows: DataFrame) -> DataFrame:
     """AUG8, AUG10: the CDR3 between the places that V's and J's motifs have in the query. Beyond the V alignment its
     start is counted on from the alignment's end; without a J place the columns stay as they were."""
-    rows = rows.withColumns({"v_bound_": by_locus(F.col("v_gene_sequence"), F.col("locus"), cdr3_start), "j_bound_": by_locus(F.col("j_gene_sequence"), F.col("locus"), cdr3_end)})
+    rows = rows.withColumns({"v_bound_": F.try_element_at("v_bounds_", F.col("locus")), "j_bound_": F.try_element_at("j_bounds_", F.col("locus"))})
     begin = F.coalesce(query_position("v", F.col("v_bound_")), F.col("v_sequence_end") + (F.col("v_bound_") - F.col("v_germline_end")))
     rows = rows.withColumns({"begin_": begin, "end_": query_position("j", F.col("j_bound_"))})
     ok = (F.col("v_call") != "") & (F.col("j_call") != "") & F.col("begin_").isNotNull() & F.col("end_").isNotNull()
