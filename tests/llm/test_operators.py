@@ -206,6 +206,27 @@ def brute_search(queries, texts, k):
     return out
 
 
+@pytest.mark.parametrize("block, words, k", [(1, 1, 3), (2, 3, 1), (3, 8, 4), (64, 2048, 10), (4, 0, 50)])
+def test_shards_skip_nothing_that_counts(monkeypatch, block, words, k):
+    """Many shards with ties, repeated rows and thresholds carried from shard to shard find what scoring all finds."""
+    monkeypatch.setattr(search, "BLOCK", block)
+    monkeypatch.setattr(search, "WORDS", words)
+    rng = np.random.default_rng(block)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, rng.integers(1, 40)) % 300) for _ in range(150)] * 2
+    vectors = list(search.words(texts))
+    terms, df = np.unique(np.concatenate([w for w, _ in vectors]), return_counts=True)
+    idf, mean = np.log1p((len(texts) - df + 0.5) / (df + 0.5)), sum(c.sum() for _, c in vectors) / len(texts)
+    shards = [search.Shard(search.packed([(i, *vectors[i]) for i in range(a, min(a + 37, 300))], 37), mean) for a in range(0, 300, 37)]
+    shards.append(search.Shard(search.packed([], 1), mean))
+    some = list(range(0, 300, 7))
+    queries = [(i, vectors[i][0], idf[np.searchsorted(terms, vectors[i][0])]) for i in some]
+    best = [(np.zeros(0), np.zeros(0, bool), np.zeros(0, np.int64))] * len(some)
+    for shard in shards:
+        shard.search(queries, best, k)
+    got = sorted((q, r + 1, int(i), pytest.approx(s, abs=2e-6)) for q, b in zip(some, best) for r, (s, i) in enumerate(zip(b[0], b[2])))
+    assert sorted(brute_search([(i, texts[i]) for i in some], texts, k)) == got
+
+
 @pytest.mark.parametrize("block", [2, 64])
 def test_search_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(search, "BLOCK", block)
