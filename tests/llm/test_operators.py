@@ -219,12 +219,18 @@ def test_shards_skip_nothing_that_counts(monkeypatch, block, words, k):
     shards = [search.Shard(search.packed([(i, *vectors[i]) for i in range(a, min(a + 37, 300))], 37), mean) for a in range(0, 300, 37)]
     shards.append(search.Shard(search.packed([], 1), mean))
     some = list(range(0, 300, 7))
-    queries = [(i, vectors[i][0], idf[np.searchsorted(terms, vectors[i][0])]) for i in some]
+    queries = [(vectors[i][0], idf[np.searchsorted(terms, vectors[i][0])], 0.0) for i in some]
     best = [(np.zeros(0), np.zeros(0, bool), np.zeros(0, np.int64))] * len(some)
     for shard in shards:
         shard.search(queries, best, k)
     got = sorted((q, r + 1, int(i), pytest.approx(s, abs=2e-6)) for q, b in zip(some, best) for r, (s, i) in enumerate(zip(b[0], b[2])))
     assert sorted(brute_search([(i, texts[i]) for i in some], texts, k)) == got
+    floors = [(t, w, b[0][-1]) for (t, w, _), b in zip(queries, best)]
+    again = [(np.zeros(0), np.zeros(0, bool), np.zeros(0, np.int64))] * len(some)
+    for shard in shards:
+        shard.search(floors, again, k)
+    for a, b in zip(best, again):
+        assert len(a[0]) < k or all(map(np.array_equal, a, b))
 
 
 @pytest.mark.parametrize("block", [2, 64])
