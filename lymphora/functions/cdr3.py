@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .sequence import nt_to_aa
+from .sequence import CODONS, nt_to_aa
 
 #: Motifs around the CDR3 by locus (before, CDR3, after), the second choice for heavy chains,
 #: ends of V and starts of J regions. Letters before a CDR3: as many as FRONT says.
@@ -22,23 +24,52 @@ J_START = {"IGH": "W[GAV]", "IGK": "FG", "IGL": "FG", "TRA": "FG", "TRB": "FG",
 TAIL, SHORT_TAIL = 15, 8
 
 
-def _at(aa: Column, regex: str, front: int, frame: int) -> Column:
-    """Struct (start, stop) in bases of the first group of regex, null without a match."""
-    first = F.regexp_instr(aa, F.lit(regex))
-    start = (first - 1 + front) * 3 + frame
-    return F.when(first > 0, F.struct(start.alias("start"), (start + 3 * F.length(F.regexp_extract(aa, regex, 1))).alias("stop")))
+def in_codons(regex: str) -> str:
+    """A regular expression over amino acids as one over bases: letters and classes become their codons, a dot any three bases."""
+    def either(letters: str) -> str:
+        by: dict[str, str] = {}
+        for codon in sorted(c for c, a in CODONS.items() if a in letters):
+            by[codon[:2]] = by.get(codon[:2], "") + codon[2]
+        return f"(?:{'|'.join(f'{k}[{v}]' for k, v in by.items())})"
+
+    part = lambda m: "(?:...)" if m[0] == "." else either(m[0]) if m[0].isupper() else either(m[0][1:-1]) if m[0][0] == "[" else m[0]
+    return re.sub(r"\[[A-Z]+\]|[A-Z.]|\{[^}]*\}|\(\?!", part, regex)
+
+
+def _any(regex: str) -> str:
+    return f"(?s){in_codons(regex)}"
+
+
+def _at(sequence: Column, regex: str, before: str) -> Column:
+    """Struct (start, stop) in bases of the first group of regex, null without a match. Before the motif is what before matches, the
+    least. Bases are searched for codons: to translate reads takes far longer than to find the few that matter."""
+    front, behind = re.split(r"\((?!\?)", regex, maxsplit=1)
+    whole = f"(?s)^({before}{in_codons(front)})({in_codons(behind)}"
+    start = F.length(F.regexp_extract(sequence, whole, 1))  # 0 without a match
+    return F.when(start > 0, F.struct(start.alias("start"), (start + F.length(F.regexp_extract(sequence, whole, 2))).alias("stop")))
 
 
 def find_cdr3(sequence: Column, locus: str) -> Column:
-    """FN4: struct (start, stop), 0-based, of the CDR3 in any frame, the least; null if there is none or the locus has no motif."""
+    """FN4: struct (start, stop), 0-based, of the CDR3 in any frame, the least; null if there is none or the locus has no motif.
+
+    The first match in any frame has the least start. For heavy chains it is the second motif's only if its frame lacks the
+    first motif, so frames are looked at one by one where the second motif comes first, and in texts beyond ASCII."""
     if locus not in WHOLE:
         return F.lit(None).cast("struct<start:int,stop:int>")
-    found = []
-    for frame in range(3):
-        aa = nt_to_aa(F.substring(sequence, F.lit(frame + 1), F.length(sequence)))
-        one = _at(aa, WHOLE[locus], FRONT, frame)
-        found.append(F.coalesce(one, _at(aa, OTHER_HEAVY, OTHER_FRONT, frame)) if locus == "IGH" else one)
-    return F.array_min(F.filter(F.array(*found), lambda x: x.isNotNull()))
+    first = _any(WHOLE[locus])
+    second = _any(OTHER_HEAVY) if locus == "IGH" else None
+    found = F.struct(*(F.regexp_instr(sequence, F.lit(r)).alias(n) for n, r in (("p", first), ("q", second)) if r), (F.length(sequence) != F.octet_length(sequence)).alias("wide"))
+
+    def placed(x: Column) -> Column:
+        at = lambda place, front, r: F.struct((place - 1 + 3 * front).alias("start"), (place - 1 + 3 * front + F.length(F.regexp_extract(sequence, r, 1))).alias("stop"))
+        if not second:
+            return F.when(x.wide, _at(sequence, WHOLE[locus], ".*?")).when(x.p > 0, at(x.p, FRONT, first))
+        frames = [f".{{{frame}}}(?:...)*?" for frame in range(3)]
+        each = F.least(*(F.coalesce(_at(sequence, WHOLE[locus], f), _at(sequence, OTHER_HEAVY, f)) for f in frames))
+        nearer = (x.q > 0) & (x.q + 3 * OTHER_FRONT < x.p + 3 * FRONT)
+        return F.when(x.wide, each).when((x.p > 0) & ~nearer, at(x.p, FRONT, first)).when(x.p > 0, each).when(x.q > 0, at(x.q, OTHER_FRONT, second))
+
+    return F.transform(F.array(found), placed)[0]  # so that what is found is sought once
 
 
 def cdr3_start(nt: Column, locus: str) -> Column:
