@@ -6,6 +6,8 @@ Groups go to Python only as samples of bounded size; counts and joins stay in Ca
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,14 @@ def windows(step: int = 2, left: float = 0, right: float = 100) -> list[tuple[st
     return [("all" if span == (0, 100) else f"{shown(span[0])}-{shown(span[1])}", *span, span == (left, right)) for span in spans]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a compressed table in the checkpoint folder. A checkpoint computes its rows twice and keeps them uncompressed."""
+    spark = df.sparkSession
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def large_enough(df: DataFrame, keys: list[str], least: int) -> DataFrame:
     """FIL15: rows of groups of at least so many."""
     return df.join(df.groupBy(*keys).agg(F.count("*").alias("n_")).where(F.col("n_") >= least).select(*keys), keys, "left_semi")
@@ -76,18 +86,31 @@ def snapped(sequence: Column, known: Column) -> Column:
     return F.when(F.startswith(sequence, known) | F.startswith(known, sequence), known).otherwise(sequence)
 
 
+def few_of_each(df: DataFrame, keys: list[str], row: str, n: int, seed: int = 1, room: int = 4) -> DataFrame:
+    """sample() written, of which only rows with low hashes are sorted and exchanged: of a key's rows room times as many as are
+    wanted. Where that leaves a key too few, as with many equal rows, all rows are."""
+    sizes = written(df.groupBy(*keys).agg(F.count("*").alias("size_")))
+    share = F.least(F.lit(1.0), F.lit(float(room * n)) / F.col("size_"))
+    low = df.join(small(sizes), keys).where(F.xxhash64(F.lit(seed), *keys, row) / 2.0**64 + 0.5 <= share).drop("size_")
+    out = written(sample(low, keys, row, n, seed=seed))
+    short = sizes.join(out.groupBy(*keys).agg(F.count("*").alias("got")), keys, "left").where(F.coalesce("got", F.lit(0)) < F.least("size_", F.lit(n)))
+    return written(sample(df, keys, row, n, seed=seed)) if short.head(1) else out
+
+
 def sibling_sequences(members: DataFrame, database: DataFrame, threshold: float = 0.6, most: int = CONSENSUS, seed: int = 1) -> DataFrame:
     """(gene, sibling, at, requested, sequence): the consensus of at most so many reads of each sibling, snapped to the database.
     Siblings named db and ex have the database's and their reads' sequence."""
     keys = ["gene", "sibling", "at", "requested"]
-    chosen = sample(members.where("sibling <> 'db'").select(*keys, "sequence_id", "V_nt"), keys[:2], "sequence_id", most, seed=seed)
+    exact = F.startswith("sibling", F.lit("ex"))
+    some = members.where((F.col("sibling") != "db") & ~exact).select(*keys, "sequence_id", "V_nt")
+    chosen = few_of_each(some, keys[:2], "sequence_id", most, seed)
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("k")["V_nt"].tolist()
-        found = rows[0] if key[1].startswith("ex") else iterative_consensus(rows, threshold, most=most)
+        found = iterative_consensus(pdf.sort_values("k")["V_nt"].tolist(), threshold, most=most)
         return pd.DataFrame([(*key, found)], columns=[*keys, "sequence"])
 
     made = chosen.groupBy(*keys).applyInPandas(run, "gene string, sibling string, at int, requested boolean, sequence string")
+    made = made.unionByName(members.where(exact).groupBy(*keys).agg(F.min("V_nt").alias("sequence")))  # all are equal
     known = small(database.select("gene", F.col("sequence").alias("known")))
     made = made.join(known, "gene", "left").withColumn("sequence", F.when(F.startswith("sibling", F.lit("ex")), F.col("sequence")).otherwise(F.coalesce(snapped(F.col("sequence"), F.col("known")), F.col("sequence"))))
     again = members.where("sibling = 'db'").select(*keys).distinct().join(known, "gene").withColumnRenamed("known", "sequence")
@@ -100,9 +123,9 @@ def merged_siblings(found: DataFrame) -> DataFrame:
     return folded(rows, ["gene"], "at", "gene string, at int, name string, sequence string, requested boolean", siblings).drop("at")
 
 
-def most_frequent(df: DataFrame, keys: list[str], c: str) -> DataFrame:
-    """(keys, c): the most frequent value of c, of equals the least."""
-    counts = df.groupBy(*keys, c).agg(F.count("*").alias("n"))
+def most_frequent(df: DataFrame, keys: list[str], c: str, count: Column | None = None) -> DataFrame:
+    """(keys, c): the most frequent value of c, of equals the least. count is that of the rows by default."""
+    counts = df.groupBy(*keys, c).agg((F.count("*") if count is None else count).alias("n"))
     return counts.groupBy(*keys).agg(F.min_by(c, F.struct((-F.col("n")).alias("n"), F.col(c).alias("v"))).alias(c))
 
 
@@ -119,20 +142,24 @@ def evaluated(rows: DataFrame, merged: DataFrame, members: DataFrame, database:
     merged = merged.where(n_bases(F.col("sequence")) <= max_n)
     # reads of the siblings that were merged, each once (SET5)
     of = merged.select(*key, F.explode(F.split("name", ";")).alias("sibling"))
-    group = members.join(of, ["gene", "sibling"]).dropDuplicates([*key, "sequence_id"])
+    group = members.drop("V_nt", "at", "requested").join(small(of), ["gene", "sibling"]).dropDuplicates([*key, "sequence_id"])
+    # exchanged once, and kept as counts
+    group = written(group.groupBy(*key, "locus", "V_CDR3_start", "j_call", "cdr3").agg(F.count("*").alias("reads")))
     text = lambda c: F.when(F.col(c) != "", F.col(c))
-    window = group.groupBy(*key).agg(F.count("*").alias("cluster_size"), F.count_distinct(text("j_call")).alias("Js"), F.count_distinct(text("cdr3")).alias("CDR3s"))
-    own = window.join(most_frequent(group, key, "locus"), key).join(most_frequent(group, key, "V_CDR3_start"), key)
+    window = group.groupBy(*key).agg(F.sum("reads").alias("cluster_size"), F.count_distinct(text("j_call")).alias("Js"), F.count_distinct(text("cdr3")).alias("CDR3s"))
+    own = window.join(most_frequent(group, key, "locus", F.sum("reads")), key).join(most_frequent(group, key, "V_CDR3_start", F.sum("reads")), key)
     start = most_frequent(rows.withColumn("gene", F.col("v_call")), ["gene"], "V_CDR3_start").withColumnRenamed("V_CDR3_start", "cut")
     named = merged.join(start, "gene").withColumn("V_no_CDR3", F.left("sequence", F.greatest("cut", F.lit(0))))
-    exact = v_without_cdr3(rows).withColumn("gene", F.col("v_call")).join(named.select(*key, "V_no_CDR3"), ["gene", "V_no_CDR3"])
+    exact = v_without_cdr3(rows).withColumn("gene", F.col("v_call")).join(small(named.select(*key, "V_no_CDR3")), ["gene", "V_no_CDR3"])
     info = group_info(exact, key)
     # prefixes are looked up under the gene, as it stands before both
-    tagged = starting_with(rows.select(F.concat_ws("|", "v_call", "VDJ_nt").alias("text")), "text", merged.select(*key, F.concat_ws("|", "gene", "sequence").alias("p")), "p")
-    full = tagged.groupBy(*key).agg(F.count("*").alias("full_exact"))
+    wanted = merged.select(*key, F.concat_ws("|", "gene", "sequence").alias("p"))
+    longest = wanted.agg(F.max(F.length("p"))).first()[0] or 0
+    starts = rows.groupBy(F.left(F.concat_ws("|", "v_call", "VDJ_nt"), F.lit(longest)).alias("text")).agg(F.count("*").alias("reads"))  # what is behind doesn't matter
+    full = starting_with(starts, "text", small(wanted), "p").groupBy(*key).agg(F.sum("reads").alias("full_exact"))
     # CDR3s that reads outside the group have too
     total = rows.where("cdr3 <> ''").groupBy("cdr3").agg(F.count("*").alias("total"))
-    inside = group.where("cdr3 <> ''").groupBy(*key, "cdr3").agg(F.count("*").alias("inside"))
+    inside = group.where("cdr3 <> ''").groupBy(*key, "cdr3").agg(F.sum("reads").alias("inside"))
     seen = exact.where("cdr3 <> ''").select(*key, "cdr3").distinct().join(total, "cdr3").join(inside, [*key, "cdr3"], "left")
     shared = seen.groupBy(*key).agg(F.sum((F.col("total") > F.coalesce("inside", F.lit(0))).cast("long")).alias("shared"))
     known = small(database.select("gene", F.col("sequence").alias("known")))
@@ -153,14 +180,14 @@ def discover(rows: DataFrame, database: DataFrame, spans=None, cluster: bool = T
     """The candidate table of novel and known V genes: windows, clusters and exact sequences, merged and evaluated."""
     rows = rows.where("v_call <> ''") if ignore_j else rows.where("v_call <> '' AND J_SHM = 0")
     # computed columns are used by many branches, so they are written once
-    rows = rows.select([c for c in READ if c in rows.columns]).checkpoint()
+    rows = written(rows.select([c for c in READ if c in rows.columns]))
     members = window_members(rows, spans or windows()).unionByName(database_members(rows, database))
     if cluster:
-        members = members.unionByName(cluster_members(rows))
+        members = members.unionByName(written(cluster_members(rows)))
     if cluster_exact:
         members = members.unionByName(exact_members(rows, cluster_exact))
-    members = members.checkpoint()
-    merged = merged_siblings(sibling_sequences(members, database)).checkpoint()
+    # members aren't written: there are several for each read, and all but the clusters' follow from the reads
+    merged = written(merged_siblings(sibling_sequences(members, database)))
     return evaluated(rows, merged, members, database, **limits)
 
 
